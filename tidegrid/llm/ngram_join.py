@@ -23,7 +23,6 @@ apart; columns other than doc_id and text are not read.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,44 +30,74 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import WORD, ascii_lower, per_process, saved, small
+from tidegrid.llm.common import per_process, saved, small
 from tidegrid.llm.components import components
 
 #: Hashed document counts that order the shingles; 4 bytes each, broadcast.
 BUCKET_BITS = 18
-WORD_CACHE = 1_000_000
+#: Bytes of a text worked on at once.
+PIECE = 1 << 20
 STAR_ROUNDS = 3
 
 
 class Shingles:
-    """Sorted 64-bit hashes of the distinct n-word shingles of texts."""
+    """Sorted 64-bit hashes of the distinct n-word shingles of texts, in whole-array steps.
 
-    def __init__(self, n: int):
-        import xxhash
+    A word's hash is the sum of a random number for each byte times a power of an odd factor, taken as a
+    difference of running sums over the text and divided by the power at its start.
+    """
 
-        self.n, self.find, self.digest = n, re.compile(WORD).findall, xxhash.xxh3_64_intdigest
-        self.words: dict[str, int] = {}
-        self.factors = np.random.default_rng(n).integers(1, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1)
+    def __init__(self, n: int):
+        r = np.random.default_rng(n)
+        odd = lambda k: r.integers(1, 1 << 62, k, np.uint64) * np.uint64(4) + np.uint64(3)
+        self.n, self.factors, self.byte = n, odd(n), odd(256)
+        self.byte[65:91] = self.byte[97:123]
+        self.white = np.zeros(256, bool)
+        self.white[[9, 10, 11, 12, 13, 32]] = True
+        base = int(odd(1)[0])
+        self.base, self.inverse = base, pow(base, -1, 1 << 64)
+        self.up, self.down = np.ones(1, np.uint64), np.ones(1, np.uint64)
+
+    def powers(self, size: int) -> None:
+        while len(self.up) < size:
+            k = len(self.up)
+            self.up = np.concatenate([self.up, self.up * np.uint64(pow(self.base, k, 1 << 64))])
+            self.down = np.concatenate([self.down, self.down * np.uint64(pow(self.inverse, k, 1 << 64))])
+
+    def words(self, raw: bytes) -> np.ndarray:
+        """A hash for each word of raw."""
+        b = np.frombuffer(raw, np.uint8)
+        self.powers(len(b) + 1)
+        sums = np.zeros(len(b) + 1, np.uint64)
+        np.cumsum(self.byte[b] * self.up[: len(b)], out=sums[1:])
+        edge = np.ones(len(b) + 2, bool)
+        edge[1:-1] = self.white[b]
+        at = np.flatnonzero(edge[1:] != edge[:-1])
+        begin, end = at[::2], at[1::2]
+        return (sums[end] - sums[begin]) * self.down[begin]
 
     def of(self, text: str) -> np.ndarray:
-        words = self.find(ascii_lower(text))
-        if not words:
-            return np.zeros(0, np.uint64)
-        if len(words) < self.n:
-            return np.array([self.digest("\n".join(words).encode("utf-8", "surrogatepass"), seed=len(words))], np.uint64)
-        try:
-            ids = np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))
-        except KeyError:
-            if len(self.words) > WORD_CACHE:
-                self.words.clear()
-            self.words.update((w, self.digest(w.encode("utf-8", "surrogatepass"))) for w in set(words) if w not in self.words)
-            ids = np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))
-        m = len(ids) - self.n + 1
-        h = np.zeros(m, np.uint64)
-        for k, f in enumerate(self.factors):
-            h += ids[k : k + m] * f
+        raw, parts, lo = text.encode("utf-8", "surrogatepass"), [], 0
+        while lo < len(raw):  # long texts go piece by piece, cut at white space
+            hi = lo + PIECE
+            while hi < len(raw) and not self.white[raw[hi]]:
+                hi += 1
+            parts.append(self.words(raw[lo:hi]))
+            lo = hi
+        ids = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+        if not len(ids):
+            return ids
+        # A text of fewer words is one shingle, with a factor of its own number of words.
+        n = min(self.n, len(ids))
+        m = len(ids) - n + 1
+        h = np.full(m, self.n - n, np.uint64)
+        for k in range(n):
+            h += ids[k : k + m] * self.factors[k]
             h ^= h >> np.uint64(29)
-        return np.unique(h)
+        h *= self.factors[0]
+        h ^= h >> np.uint64(32)
+        h.sort()
+        return h[np.concatenate([[True], h[1:] != h[:-1]])]
 
 
 def shingles(n: int) -> Shingles:
@@ -114,16 +143,16 @@ def _measured(docs: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make, seen, count = shingles(n), set(), np.zeros(1 << BUCKET_BITS, np.int64)
         for batch in batches:
-            size, sig = [], []
+            size, sig, new = [], [], []
             for text in batch.column(1).to_pylist():
                 h = make.of(text or "")
                 size.append(len(h))
                 sig.append(hashlib.md5(h.tobytes()).digest() if len(h) else None)
-                if sig[-1] not in seen:
+                if len(h) and sig[-1] not in seen:
                     seen.add(sig[-1])
-                    count += np.bincount(h >> np.uint64(64 - BUCKET_BITS), minlength=1 << BUCKET_BITS) if len(h) > 4096 else 0
-                    if len(h) <= 4096:
-                        np.add.at(count, (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), 1)
+                    new.append((h >> np.uint64(64 - BUCKET_BITS)).astype(np.int32))
+            if new:
+                count += np.bincount(np.concatenate(new), minlength=1 << BUCKET_BITS)
             rows = batch.num_rows
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(sig, pa.binary()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.int64())], ["doc_id", "n_shingles", "sig", "bucket", "n"])
         at = np.flatnonzero(count)
