@@ -23,6 +23,7 @@ apart; columns other than doc_id and text are not read.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,8 +34,9 @@ from pyspark.sql import functions as F
 from tidegrid.llm.common import per_process, saved, small
 from tidegrid.llm.components import components
 
-#: Hashed document counts that order the shingles; 4 bytes each, broadcast.
-BUCKET_BITS = 18
+#: Hashed document counts that order the shingles; 4 bytes each, broadcast (16 MB whatever the input).
+#: Tasks send them in so many parts, which are summed apart.
+BUCKET_BITS, COUNT_PARTS = 22, 64
 #: Bytes of a text worked on at once.
 PIECE = 1 << 20
 STAR_ROUNDS = 3
@@ -138,10 +140,11 @@ def _read(docs: DataFrame) -> DataFrame:
 
 
 def _measured(docs: DataFrame, n: int) -> DataFrame:
-    """A row (doc_id, n_shingles, sig) for each document and, from each task, rows (bucket, count) for the order."""
+    """A row (doc_id, n_shingles, sig) for each document and, from each task, rows (part, counts) for the order."""
+    names = ["doc_id", "n_shingles", "sig", "part", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make, seen, count = shingles(n), set(), np.zeros(1 << BUCKET_BITS, np.int64)
+        make, seen, count = shingles(n), set(), np.zeros(1 << BUCKET_BITS, np.uint32)
         for batch in batches:
             size, sig, new = [], [], []
             for text in batch.column(1).to_pylist():
@@ -150,16 +153,35 @@ def _measured(docs: DataFrame, n: int) -> DataFrame:
                 sig.append(hashlib.md5(h.tobytes()).digest() if len(h) else None)
                 if len(h) and sig[-1] not in seen:
                     seen.add(sig[-1])
-                    new.append((h >> np.uint64(64 - BUCKET_BITS)).astype(np.int32))
+                    new.append((h >> np.uint64(64 - BUCKET_BITS)).astype(np.uint32))
             if new:
-                count += np.bincount(np.concatenate(new), minlength=1 << BUCKET_BITS)
+                np.add.at(count, np.concatenate(new), np.uint32(1))
             rows = batch.num_rows
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(sig, pa.binary()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.int64())], ["doc_id", "n_shingles", "sig", "bucket", "n"])
-        at = np.flatnonzero(count)
-        k = len(at)
-        yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.array(at.astype(np.int32)), pa.array(count[at])], ["doc_id", "n_shingles", "sig", "bucket", "n"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(sig, pa.binary()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names)
+        if seen:
+            parts = [zlib.compress(x.astype("<u4").tobytes(), 1) for x in np.split(count, COUNT_PARTS)]
+            rows = len(parts)
+            yield pa.RecordBatch.from_arrays([pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.binary()), pa.array(range(rows), pa.int32()), pa.array(parts, pa.binary())], names)
 
-    return _read(docs).mapInArrow(run, "doc_id long, n_shingles long, sig binary, bucket int, n long")
+    return _read(docs).mapInArrow(run, "doc_id long, n_shingles long, sig binary, part int, counts binary")
+
+
+def _summed(parts: DataFrame) -> np.ndarray:
+    """The counts of all tasks together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                counts = np.frombuffer(zlib.decompress(data.as_buffer()), "<u4").astype(np.uint64)
+                total[part] = total[part] + counts if part in total else counts
+        for part, counts in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([np.minimum(counts, (1 << 32) - 1).astype("<u4").tobytes()], pa.binary())], ["part", "counts"])
+
+    out = np.zeros((COUNT_PARTS, (1 << BUCKET_BITS) // COUNT_PARTS), np.uint32)
+    for row in parts.repartition(COUNT_PARTS, "part").mapInArrow(run, "part int, counts binary").toLocalIterator():
+        out[row["part"]] = np.frombuffer(row["counts"], "<u4")
+    return out.ravel()
 
 
 def _prefixes(docs: DataFrame, n: int, percent: int, counts) -> DataFrame:
@@ -229,13 +251,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every row of docs."""
     spark = docs.sparkSession
     both = saved(_measured(docs, n))
-    table = np.zeros(1 << BUCKET_BITS, np.int64)
-    got = both.filter("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()  # a row a bucket
-    table[got["bucket"]] = got["n"]
-    counts = spark.sparkContext.broadcast(np.minimum(table, (1 << 31) - 1).astype(np.int32))
+    counts = spark.sparkContext.broadcast(_summed(both.filter("part IS NOT NULL").select("part", "counts")))
 
     # Equal sets are one node, named by their smallest doc_id.
-    measured = both.filter("bucket IS NULL").select("doc_id", "n_shingles", "sig")
+    measured = both.filter("part IS NULL").select("doc_id", "n_shingles", "sig")
     named = measured.filter("doc_id IS NOT NULL AND sig IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("rep"))
     members = saved(measured.join(named, "sig", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep")))
 
