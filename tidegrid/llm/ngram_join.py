@@ -9,9 +9,9 @@ they are verified once.
 
 Pairs within large groups are never all formed at once. Equal sets are one node. In
 star rounds each shingle's nodes are compared with one leader, a number of pairs
-linear in the prefixes; what is linked so is one component. Only pairs of nodes that
-share a prefix shingle and lie in different components are then compared with each
-other, so that no link is lost.
+linear in the prefixes; what is linked so is one component. In the last round all pairs
+of nodes that share a prefix shingle and lie in different components are compared,
+so that no link is lost; it comes at once where shingles are shared by few.
 
 Defined results: null and empty texts and texts without words have no shingles and
 link with nothing; with fewer words than n the whole sequence is one shingle; equal
@@ -39,7 +39,10 @@ from tidegrid.llm.components import components
 BUCKET_BITS, COUNT_PARTS = 22, 64
 #: Bytes of a text worked on at once.
 PIECE = 1 << 20
-STAR_ROUNDS = 3
+#: Star rounds at most; and all remaining pairs are formed as soon as they are at most so many times the rows that form them.
+STAR_ROUNDS, FEW_PAIRS = 3, 8
+#: Sets up to this size have 16 bits of each hash compared first.
+SHORT = 1024
 
 
 class Shingles:
@@ -128,11 +131,16 @@ def suffix_bound(x: np.ndarray, y: np.ndarray, depth: int = 2) -> int:
     return suffix_bound(x[:i], y[:j], depth - 1) + suffix_bound(x[i:], y[j:], depth - 1)
 
 
+def found_in(x: np.ndarray, y: np.ndarray) -> int:
+    """How many of the sorted values x are among the sorted values y."""
+    return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+
+
 def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     need = least_overlap(len(x), len(y), percent)
     if suffix_bound(x, y) < need:
         return False
-    return len(np.intersect1d(x, y, assume_unique=True)) >= need
+    return found_in(x, y) >= need
 
 
 def _read(docs: DataFrame) -> DataFrame:
@@ -212,31 +220,51 @@ def _prefixes(docs: DataFrame, n: int, percent: int, counts) -> DataFrame:
     return _read(docs).mapInArrow(run, "doc_id long, shingle long, place long")
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
-    """node and its sorted shingles for the documents whose doc_id is among nodes."""
+def _per_node(docs: DataFrame, nodes: DataFrame, make_of) -> DataFrame:
+    """node and bytes made of its shingles for the documents whose doc_id is among nodes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make = shingles(n)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([make.of(x or "").tobytes() for x in batch.column(1).to_pylist()], pa.binary())], ["node", "items"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([make_of(x or "") for x in batch.column(1).to_pylist()], pa.binary())], ["node", "items"])
 
     return _read(docs).join(small(nodes, 16), F.col("doc_id") == F.col("node"), "left_semi").mapInArrow(run, "node long, items binary")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (u, v) whose sets reach the threshold."""
-    nodes = saved(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
-    sets = _sets(docs, nodes, n)
+def _compared(docs: DataFrame, pairs: DataFrame, make_of, holds) -> DataFrame:
+    """The pairs (u, v) for which holds is true of the bytes made of the shingles of both."""
+    items = _per_node(docs, saved(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()), make_of)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
+            keep = [holds(x.as_buffer(), y.as_buffer()) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    both = pairs.join(sets.select(F.col("node").alias("u"), F.col("items").alias("x")), "u").join(sets.select(F.col("node").alias("v"), F.col("items").alias("y")), "v")
+    both = pairs.join(items.select(F.col("node").alias("u"), F.col("items").alias("x")), "u").join(items.select(F.col("node").alias("v"), F.col("items").alias("y")), "v")
     return both.select("u", "v", "x", "y").mapInArrow(run, "u long, v long").distinct()
 
 
+def short_form(h: np.ndarray) -> bytes:
+    """The leading bits of sorted hashes: 16 of each for small sets, else 32; the first byte tells."""
+    return b"\2" + (h >> np.uint64(48)).astype("<u2").tobytes() if len(h) <= SHORT else b"\4" + (h >> np.uint64(32)).astype("<u4").tobytes()
+
+
+def may_link(x: pa.Buffer, y: pa.Buffer, percent: int) -> bool:
+    """False only if two sets can't reach the threshold, told from their short forms: what is equal stays equal in them."""
+    a, b = (np.frombuffer(z, "<u2" if z[0] == 2 else "<u4", offset=1) for z in (x, y))
+    if a.dtype != b.dtype:
+        a, b = ((z >> 16).astype("<u2") if z.dtype.itemsize == 4 else z for z in (a, b))
+    need = least_overlap(len(a), len(b), percent)
+    return suffix_bound(a, b) >= need and found_in(a, b) >= need and found_in(b, a) >= need
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (u, v) whose sets reach the threshold: short forms first, whole sets for what these leave."""
+    left = saved(_compared(docs, pairs, lambda text: short_form(shingles(n).of(text)), lambda x, y: may_link(x, y, percent)))
+    if left.isEmpty():
+        return left
+    return _compared(docs, left, lambda text: shingles(n).of(text).tobytes(), lambda x, y: linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent))
+
+
 def _could_link(a: str, b: str, percent: int) -> Column:
     """Length and positional filters on the places of two nodes at a shared shingle."""
     size = lambda c: F.shiftrightunsigned(c, 32)
@@ -260,35 +288,41 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
 
     prefixes = _prefixes(docs, n, percent, counts)
     shared = prefixes.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("shingle")
-    nodes = members.filter("doc_id IS NOT NULL").select("doc_id", "rep").distinct()
-    met = saved(prefixes.join(shared, "shingle", "left_semi").join(nodes, "doc_id").select(F.col("rep").alias("node"), "shingle", "place").distinct())
-
+    # A node of the rounds is a document; equal sets of other tasks are nodes of their own and link like others.
+    open_ = saved(prefixes.join(shared, "shingle", "left_semi").select(F.col("doc_id").alias("node"), "shingle", "place", F.col("doc_id").alias("component")))
     links = spark.createDataFrame([], "u long, v long")
-    comp = spark.createDataFrame([], "node long, component long")
     for k in range(STAR_ROUNDS + 1):
-        # Shingles whose nodes are not yet one component, by their nodes' components.
-        open_ = met.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = open_.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("shingle")
-        open_ = saved(open_.join(mixed, "shingle", "left_semi"))
-        if open_.isEmpty():
+        sizes = open_.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+        rows, all_pairs = sizes.agg(F.sum("n"), F.sum(F.expr("n * (n - 1) / 2"))).first()
+        if not rows:
             break
-        if k < STAR_ROUNDS:
+        last = k == STAR_ROUNDS or all_pairs <= FEW_PAIRS * rows
+        if last:
+            a = open_.select("shingle", F.col("node").alias("u"), F.col("place").alias("p"), F.col("component").alias("c"))
+            b = open_.select("shingle", F.col("node").alias("v"), F.col("place").alias("q"), F.col("component").alias("d"))
+            pairs = a.join(b, "shingle").filter("u < v AND c <> d").filter(_could_link("p", "q", percent)).select("u", "v")
+        else:
             leader = F.min_by(F.struct("node", "place", "component"), F.xxhash64(F.col("node") + F.lit(k)))
             led = open_.groupBy("shingle").agg(leader.alias("l")).select("shingle", F.col("l.node").alias("u"), F.col("l.place").alias("p"), F.col("l.component").alias("c"))
             pairs = open_.join(led, "shingle").filter("component <> c")
             pairs = pairs.filter(_could_link("p", "place", percent)).select(F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v"))
-        else:
-            a = open_.select("shingle", F.col("node").alias("u"), F.col("place").alias("p"), F.col("component").alias("c"))
-            b = open_.select("shingle", F.col("node").alias("v"), F.col("place").alias("q"), F.col("component").alias("d"))
-            pairs = a.join(b, "shingle").filter("u < v AND c <> d").filter(_could_link("p", "q", percent)).select("u", "v")
         pairs = saved(pairs.distinct())
-        if pairs.isEmpty():
-            continue
-        found = saved(_verified(docs, pairs, n, percent))
-        if found.isEmpty():
-            continue
-        links = links.unionByName(found)
-        comp = saved(components(links))
+        found = None if pairs.isEmpty() else saved(_verified(docs, pairs, n, percent))
+        if found is not None:
+            links = links.unionByName(found)
+        if last:
+            break
+        # Shingles whose nodes are not yet one component, by their nodes' components.
+        open_ = open_.drop("component")
+        if not links.isEmpty():
+            open_ = open_.join(saved(components(links)), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        else:
+            open_ = open_.withColumn("component", F.col("node"))
+        mixed = open_.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("shingle")
+        open_ = saved(open_.join(mixed, "shingle", "left_semi"))
+    names = members.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("u"), "rep").distinct()
+    links = links.join(names, "u").select(F.col("rep").alias("x"), F.col("v").alias("u")).join(names, "u").select(F.col("x").alias("u"), F.col("rep").alias("v"))
+    comp = components(links)
     return (
         members.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
         .select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
