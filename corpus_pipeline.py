@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from tidegrid.llm import langid, ngram_join, quality_rules
-from tidegrid.llm.common import checkpoint_ready
+from tidegrid.llm.common import shared_folder
 from tidegrid.llm.queries import placed
 
 
@@ -43,8 +43,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over documents; what a stage kept is written to the shared folder and read again."""
-    checkpoint_ready(spark)
-    folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")

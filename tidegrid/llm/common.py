@@ -7,6 +7,7 @@ import re
 import sys
 import tempfile
 import types
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,10 +31,27 @@ def checkpoint_ready(spark: SparkSession) -> None:
     sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "") or os.path.join(tempfile.gettempdir(), "checkpoints"))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    checkpoint_ready(spark)
+    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
+
+
 def saved(df: DataFrame) -> DataFrame:
-    """df with its lineage cut by a reliable checkpoint; written once, lost executors don't matter."""
-    checkpoint_ready(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """df with its lineage cut: written once as a table in the shared folder and read again, so lost executors don't matter."""
+    path = f"{shared_folder(df.sparkSession)}/saved-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._saved_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes tables that saved() wrote and nothing reads any more, and lets Spark drop the shuffles behind them."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df._saved_at)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    jvm.System.gc()
 
 
 def small(df: DataFrame, row_bytes: int) -> DataFrame:

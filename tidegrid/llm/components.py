@@ -1,7 +1,7 @@
 """Connected components of a table of links, by alternating large-star and small-star steps.
 
 Every step is an aggregation with map-side minima and a join that adaptive execution
-can split at a hot node; its result is checkpointed. Nothing of the graph is collected.
+can split at a hot node; its result is written to the shared folder. Nothing of the graph is collected.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import saved
+from tidegrid.llm.common import discard, saved
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -25,11 +25,12 @@ def components(links: DataFrame) -> DataFrame:
         # Large star: the larger neighbours of each node go to the smallest of it and its neighbours.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        edges = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        edges = saved(edges)
+        large = saved(both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        discard(edges)
         # Small star: a node and its smaller neighbours go to the smallest of these.
-        least = edges.groupBy("u").agg(F.min("v").alias("m"))
-        moved = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        moved = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = saved(moved.unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
+        discard(large)
     stars = edges.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component")
     return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import per_process, saved, small
+from tidegrid.llm.common import discard, per_process, saved, small
 from tidegrid.llm.components import components
 
 #: Hashed document counts that order the shingles; 4 bytes each, broadcast (16 MB whatever the input).
@@ -232,7 +232,8 @@ def _per_node(docs: DataFrame, nodes: DataFrame, make_of) -> DataFrame:
 
 def _compared(docs: DataFrame, pairs: DataFrame, make_of, holds) -> DataFrame:
     """The pairs (u, v) for which holds is true of the bytes made of the shingles of both."""
-    items = _per_node(docs, saved(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()), make_of)
+    nodes = saved(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
+    items = _per_node(docs, nodes, make_of)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -240,7 +241,9 @@ def _compared(docs: DataFrame, pairs: DataFrame, make_of, holds) -> DataFrame:
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     both = pairs.join(items.select(F.col("node").alias("u"), F.col("items").alias("x")), "u").join(items.select(F.col("node").alias("v"), F.col("items").alias("y")), "v")
-    return both.select("u", "v", "x", "y").mapInArrow(run, "u long, v long").distinct()
+    out = saved(both.select("u", "v", "x", "y").mapInArrow(run, "u long, v long").distinct())
+    discard(nodes)
+    return out
 
 
 def short_form(h: np.ndarray) -> bytes:
@@ -259,10 +262,12 @@ def may_link(x: pa.Buffer, y: pa.Buffer, percent: int) -> bool:
 
 def _verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (u, v) whose sets reach the threshold: short forms first, whole sets for what these leave."""
-    left = saved(_compared(docs, pairs, lambda text: short_form(shingles(n).of(text)), lambda x, y: may_link(x, y, percent)))
+    left = _compared(docs, pairs, lambda text: short_form(shingles(n).of(text)), lambda x, y: may_link(x, y, percent))
     if left.isEmpty():
         return left
-    return _compared(docs, left, lambda text: shingles(n).of(text).tobytes(), lambda x, y: linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent))
+    out = _compared(docs, left, lambda text: shingles(n).of(text).tobytes(), lambda x, y: linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent))
+    discard(left)
+    return out
 
 
 def _could_link(a: str, b: str, percent: int) -> Column:
@@ -307,19 +312,22 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
             pairs = open_.join(led, "shingle").filter("component <> c")
             pairs = pairs.filter(_could_link("p", "place", percent)).select(F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v"))
         pairs = saved(pairs.distinct())
-        found = None if pairs.isEmpty() else saved(_verified(docs, pairs, n, percent))
+        found = None if pairs.isEmpty() else _verified(docs, pairs, n, percent)
         if found is not None:
             links = links.unionByName(found)
+        discard(pairs)
         if last:
             break
         # Shingles whose nodes are not yet one component, by their nodes' components.
-        open_ = open_.drop("component")
+        done, open_ = open_, open_.drop("component")
         if not links.isEmpty():
             open_ = open_.join(saved(components(links)), "node", "left").withColumn("component", F.coalesce("component", "node"))
         else:
             open_ = open_.withColumn("component", F.col("node"))
         mixed = open_.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("shingle")
         open_ = saved(open_.join(mixed, "shingle", "left_semi"))
+        discard(done)
+    discard(open_, both)
     names = members.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("u"), "rep").distinct()
     links = links.join(names, "u").select(F.col("rep").alias("x"), F.col("v").alias("u")).join(names, "u").select(F.col("x").alias("u"), F.col("rep").alias("v"))
     comp = components(links)
