@@ -14,6 +14,7 @@ held, so memory does not follow the corpus.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from tidegrid.llm.common import per_process, splitter
 
 #: Distinct pre-split words whose ids a Python worker keeps.
-WORD_CACHE = 400_000
+WORD_CACHE = 600_000
 #: Documents a packing task handles; open sequences at its end are what splitting costs.
 DOCS_PER_TASK = 25_000
 #: The pre-split of the byte-level vocabulary, a fixed value of its format.
@@ -46,22 +47,18 @@ class ByteBpe:
         self.words: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids of text."""
-        if any(s in text for s in self.special):
-            return self.whole([text])[0]
-        words = self.split(text)
-        try:
-            return b"".join(map(self.words.__getitem__, words))
-        except KeyError:
-            pass
-        if len(self.words) > WORD_CACHE:
+        return [array("I", e.ids).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text; the words new to them are looked up in one call."""
+        split = [None if any(s in x for s in self.special) else self.split(x) for x in texts]
+        new = list(set().union(*filter(None, split)).difference(self.words))
+        if len(self.words) + len(new) > WORD_CACHE:
             self.words.clear()
-        if new := [w for w in set(words) if w not in self.words]:
-            self.words.update(zip(new, self.whole(new), strict=True))
-        return b"".join(map(self.words.__getitem__, words))
+            new = list(set().union(*filter(None, split)))
+        self.words.update(zip(new, self.whole(new), strict=True))
+        ids = self.words.__getitem__
+        return [self.whole([x])[0] if words is None else b"".join(map(ids, words)) for x, words in zip(texts, split, strict=True)]
 
 
 def byte_bpe(path: str) -> ByteBpe:
@@ -122,10 +119,10 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_bpe(tokenizer_path)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1000):
-                part, rows = batch.slice(lo, 1000), []
-                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    ids = bpe.encode(text or "") + end
+            for lo in range(0, batch.num_rows, 500):
+                part, rows = batch.slice(lo, 500), []
+                for doc, ids in zip(part.column(0).to_pylist(), bpe.encode([x or "" for x in part.column(1).to_pylist()]), strict=True):
+                    ids += end
                     rows += [(doc, k, at, n, ids[4 * at : 4 * (at + n)]) for k, (at, n) in enumerate(cut(len(ids) // 4, capacity))]
                 cols = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["doc_id", "piece", "start", "length", "ids"])
