@@ -203,8 +203,9 @@ def keyed(pages: DataFrame) -> DataFrame:
 
 
 def cut_points(keys: DataFrame, tasks: int) -> list[tuple]:
-    """At most tasks - 1 keys at equal distances in a sample of at most SAMPLE_KEYS, the least by hash."""
-    rows = keys.select("host", "path", F.coalesce("page_id", F.lit(-1)).alias("page_id")).orderBy(F.xxhash64("host", "path", "page_id")).limit(SAMPLE_KEYS)
+    """At most tasks - 1 keys at equal distances in a sample of about SAMPLE_KEYS, drawn by hash."""
+    share = int(min(1.0, SAMPLE_KEYS / max(1, keys.select("page_id").count())) * (1 << 30))
+    rows = keys.select("host", "path", F.coalesce("page_id", F.lit(-1)).alias("page_id")).filter(F.pmod(F.xxhash64("host", "path", "page_id"), F.lit(1 << 30)) < share)
     found = sorted(tuple(r) for r in rows.collect())
     return sorted({found[len(found) * k // tasks] for k in range(1, tasks)}) if found else []
 
