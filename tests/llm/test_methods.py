@@ -194,7 +194,9 @@ def test_the_join_loses_no_link(spark, texts, monkeypatch, n, percent, few):
     assert got == brute_components(all_, n, percent)
 
 
-def test_components_of_a_long_chain(spark):
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_components_of_a_long_chain(spark, monkeypatch, few):
+    monkeypatch.setattr("tidegrid.llm.components.ONE_TASK_LINKS", few)
     links = spark.range(0, 300).select((F.col("id") * 11 % 301).alias("u"), ((F.col("id") + 1) * 11 % 301).alias("v"))
     assert {x.component for x in components(links).collect()} == {0} and components(links).count() == 301
 

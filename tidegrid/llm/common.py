@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import sys
@@ -48,10 +49,15 @@ def saved(df: DataFrame) -> DataFrame:
 def discard(*tables: DataFrame) -> None:
     """Removes tables that saved() wrote and nothing reads any more, and lets Spark drop the shuffles behind them."""
     for df in tables:
-        jvm = df.sparkSession._jvm
-        path = jvm.org.apache.hadoop.fs.Path(df._saved_at)
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._saved_at)
         path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    jvm.System.gc()
+    let_go(tables[0].sparkSession)
+
+
+def let_go(spark: SparkSession) -> None:
+    """Spark drops the shuffle files of finished steps once the driver has no more use for their plans."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def small(df: DataFrame, row_bytes: int) -> DataFrame:

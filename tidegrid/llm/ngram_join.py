@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import discard, per_process, saved, small
+from tidegrid.llm.common import discard, let_go, per_process, saved, small
 from tidegrid.llm.components import components
 
 #: Hashed document counts that order the shingles; 4 bytes each, broadcast (16 MB whatever the input).
@@ -295,6 +295,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     shared = prefixes.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("shingle")
     # A node of the rounds is a document; equal sets of other tasks are nodes of their own and link like others.
     open_ = saved(prefixes.join(shared, "shingle", "left_semi").select(F.col("doc_id").alias("node"), "shingle", "place", F.col("doc_id").alias("component")))
+    del prefixes, shared
+    let_go(spark)
     links = spark.createDataFrame([], "u long, v long")
     for k in range(STAR_ROUNDS + 1):
         sizes = open_.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
