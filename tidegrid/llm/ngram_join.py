@@ -10,8 +10,10 @@ they are verified once.
 Pairs within large groups are never all formed at once. Equal sets are one node. In
 star rounds each shingle's nodes are compared with one leader, a number of pairs
 linear in the prefixes; what is linked so is one component. In the last round all pairs
-of nodes that share a prefix shingle and lie in different components are compared,
-so that no link is lost; it comes at once where shingles are shared by few.
+of nodes that share enough prefix shingles and lie in different components are compared,
+so that no link is lost; it comes at once where shingles are shared by few. In each
+round a node is compared with its best partner first, and with others only if they are
+in another component after that.
 
 Defined results: null and empty texts and texts without words have no shingles and
 link with nothing; with fewer words than n the whole sequence is one shingle; equal
@@ -270,14 +272,46 @@ def _verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFr
     return out
 
 
-def _could_link(a: str, b: str, percent: int) -> Column:
-    """Length and positional filters on the places of two nodes at a shared shingle."""
-    size = lambda c: F.shiftrightunsigned(c, 32)
-    rest = lambda c: size(c) - F.col(c).bitwiseAND(F.lit((1 << 32) - 1))
-    return (
-        (F.lit(100) * F.least(size(a), size(b)) >= F.lit(percent) * F.greatest(size(a), size(b)))
-        & (F.lit(100 + percent) * F.least(rest(a), rest(b)) >= F.lit(percent) * (size(a) + size(b)))
-    )
+def _linked_pairs(docs: DataFrame, pairs: DataFrame, links: DataFrame, n: int, percent: int) -> DataFrame | None:
+    """Pairs (u, v) of pairs (u, v, shared) that reach the threshold, enough of them to join what all of them would.
+
+    Each v is first compared with the u it shares most with; then all pairs that lie in different components still.
+    """
+    if pairs.isEmpty():
+        return None
+    whole = (lambda text: shingles(n).of(text).tobytes(), lambda x, y: linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent))
+    best = saved(pairs.groupBy("v").agg(F.max_by("u", F.struct("shared", "u")).alias("u")).select("u", "v"))
+    found = _compared(docs, best, *whole)
+    comp = saved(components(links.unionByName(found)))
+    end = lambda c: comp.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
+    apart = F.coalesce("cu", "u") != F.coalesce("cv", "v")
+    rest = saved(pairs.select("u", "v").join(best, ["u", "v"], "left_anti").join(end("u"), "u", "left").join(end("v"), "v", "left").filter(apart).select("u", "v"))
+    if not rest.isEmpty():
+        found = found.unionByName(_verified(docs, rest, n, percent))
+    discard(best, comp, rest)
+    return found
+
+
+def _size(place: str) -> Column:
+    return F.shiftrightunsigned(place, 32)
+
+
+def _near_size(a: str, b: str, percent: int) -> Column:
+    """Length filter on the places of two nodes at a shared shingle."""
+    return F.lit(100) * F.least(_size(a), _size(b)) >= F.lit(percent) * F.greatest(_size(a), _size(b))
+
+
+def _in_reach(a: str, b: str, percent: int) -> Column:
+    """Positional filter on the places of two nodes at the first shingle that both share."""
+    rest = lambda c: _size(c) - F.col(c).bitwiseAND(F.lit((1 << 32) - 1))
+    return F.lit(100 + percent) * F.least(rest(a), rest(b)) >= F.lit(percent) * (_size(a) + _size(b))
+
+
+def _enough_shared(percent: int) -> Column:
+    """Positional filter on all that the prefixes share: of the two prefixes, one ends no later than the other in the
+    common order, so what it shares with the whole other set is `shared`; only its set's suffix can add to that."""
+    suffix = F.expr(f"({percent} * greatest(a, b) + 99) div 100 - 1")
+    return F.lit(100 + percent) * (F.col("shared") + suffix) >= F.lit(percent) * (F.col("a") + F.col("b"))
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -307,14 +341,15 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
         if last:
             a = open_.select("shingle", F.col("node").alias("u"), F.col("place").alias("p"), F.col("component").alias("c"))
             b = open_.select("shingle", F.col("node").alias("v"), F.col("place").alias("q"), F.col("component").alias("d"))
-            pairs = a.join(b, "shingle").filter("u < v AND c <> d").filter(_could_link("p", "q", percent)).select("u", "v")
+            pairs = a.join(b, "shingle").filter("u < v AND c <> d").filter(_near_size("p", "q", percent))
+            pairs = pairs.groupBy("u", "v").agg(F.count(F.lit(1)).alias("shared"), F.max(_size("p")).alias("a"), F.max(_size("q")).alias("b")).filter(_enough_shared(percent))
         else:
             leader = F.min_by(F.struct("node", "place", "component"), F.xxhash64(F.col("node") + F.lit(k)))
             led = open_.groupBy("shingle").agg(leader.alias("l")).select("shingle", F.col("l.node").alias("u"), F.col("l.place").alias("p"), F.col("l.component").alias("c"))
-            pairs = open_.join(led, "shingle").filter("component <> c")
-            pairs = pairs.filter(_could_link("p", "place", percent)).select(F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v"))
-        pairs = saved(pairs.distinct())
-        found = None if pairs.isEmpty() else _verified(docs, pairs, n, percent)
+            pairs = open_.join(led, "shingle").filter("component <> c").filter(_near_size("p", "place", percent) & _in_reach("p", "place", percent))
+            pairs = pairs.groupBy("u", F.col("node").alias("v")).agg(F.count(F.lit(1)).alias("shared"))
+        pairs = saved(pairs.select("u", "v", "shared"))
+        found = _linked_pairs(docs, pairs, links, n, percent)
         if found is not None:
             links = links.unionByName(found)
         discard(pairs)
