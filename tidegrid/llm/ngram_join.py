@@ -11,9 +11,9 @@ Pairs within large groups are never all formed at once. Equal sets are one node.
 star rounds each shingle's nodes are compared with one leader, a number of pairs
 linear in the prefixes; what is linked so is one component. In the last round all pairs
 of nodes that share enough prefix shingles and lie in different components are compared,
-so that no link is lost; it comes at once where shingles are shared by few. In each
-round a node is compared with its best partner first, and with others only if they are
-in another component after that.
+so that no link is lost; it comes at once where shingles are shared by few. In it a
+node is compared with its best partner first, and with others only if they are in
+another component after that.
 
 Defined results: null and empty texts and texts without words have no shingles and
 link with nothing; with fewer words than n the whole sequence is one shingle; equal
@@ -272,13 +272,11 @@ def _verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFr
     return out
 
 
-def _linked_pairs(docs: DataFrame, pairs: DataFrame, links: DataFrame, n: int, percent: int) -> DataFrame | None:
+def _linked_pairs(docs: DataFrame, pairs: DataFrame, links: DataFrame, n: int, percent: int) -> DataFrame:
     """Pairs (u, v) of pairs (u, v, shared) that reach the threshold, enough of them to join what all of them would.
 
     Each v is first compared with the u it shares most with; then all pairs that lie in different components still.
     """
-    if pairs.isEmpty():
-        return None
     whole = (lambda text: shingles(n).of(text).tobytes(), lambda x, y: linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent))
     best = saved(pairs.groupBy("v").agg(F.max_by("u", F.struct("shared", "u")).alias("u")).select("u", "v"))
     found = _compared(docs, best, *whole)
@@ -347,9 +345,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
             leader = F.min_by(F.struct("node", "place", "component"), F.xxhash64(F.col("node") + F.lit(k)))
             led = open_.groupBy("shingle").agg(leader.alias("l")).select("shingle", F.col("l.node").alias("u"), F.col("l.place").alias("p"), F.col("l.component").alias("c"))
             pairs = open_.join(led, "shingle").filter("component <> c").filter(_near_size("p", "place", percent) & _in_reach("p", "place", percent))
-            pairs = pairs.groupBy("u", F.col("node").alias("v")).agg(F.count(F.lit(1)).alias("shared"))
-        pairs = saved(pairs.select("u", "v", "shared"))
-        found = _linked_pairs(docs, pairs, links, n, percent)
+            pairs = pairs.select(F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v")).distinct()
+        pairs = saved(pairs)
+        found = None if pairs.isEmpty() else _linked_pairs(docs, pairs, links, n, percent) if last else _verified(docs, pairs, n, percent)
         if found is not None:
             links = links.unionByName(found)
         discard(pairs)
