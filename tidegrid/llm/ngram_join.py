@@ -13,7 +13,8 @@ linear in the prefixes; what is linked so is one component. In the last round al
 of nodes that share enough prefix shingles and lie in different components are compared,
 so that no link is lost; it comes at once where shingles are shared by few. In it a
 node is compared with its best partner first, and with others only if they are in
-another component after that.
+another component after that. There a pair forms only where its first shared shingle can
+stand and if marks of the two prefixes leave room for enough shared shingles.
 
 Defined results: null and empty texts and texts without words have no shingles and
 link with nothing; with fewer words than n the whole sequence is one shingle; equal
@@ -45,6 +46,8 @@ PIECE = 1 << 20
 STAR_ROUNDS, FEW_PAIRS = 3, 8
 #: Sets up to this size have 16 bits of each hash compared first.
 SHORT = 1024
+#: Longs that mark the shingles of a node in the last round.
+MARKS = 4
 
 
 class Shingles:
@@ -305,11 +308,23 @@ def _in_reach(a: str, b: str, percent: int) -> Column:
     return F.lit(100 + percent) * F.least(rest(a), rest(b)) >= F.lit(percent) * (_size(a) + _size(b))
 
 
-def _enough_shared(percent: int) -> Column:
-    """Positional filter on all that the prefixes share: of the two prefixes, one ends no later than the other in the
-    common order, so what it shares with the whole other set is `shared`; only its set's suffix can add to that."""
-    suffix = F.expr(f"({percent} * greatest(a, b) + 99) div 100 - 1")
-    return F.lit(100 + percent) * (F.col("shared") + suffix) >= F.lit(percent) * (F.col("a") + F.col("b"))
+def _with_marks(open_: DataFrame) -> DataFrame:
+    """open_ with, for each node, the count of its rows and their shingles as set bits of MARKS longs."""
+    bits = [F.bit_or(F.expr(f"if(pmod(shingle, {MARKS}) = {i}, shiftleft(1L, int(shiftright(shingle, 8) & 63)), 0L)")).alias(f"m{i}") for i in range(MARKS)]
+    return open_.join(open_.groupBy("node").agg(F.count(F.lit(1)).alias("held"), *bits), "node")
+
+
+def _may_share(percent: int) -> tuple[Column, Column]:
+    """An upper bound of the prefix shingles that two marked nodes (columns of a and b) share, and whether it is enough.
+
+    A bit that one has and the other has not stands for a shingle that is not shared. Of the two prefixes, one ends no later
+    than the other in the common order, so what it shares with the whole other set is shared by both prefixes; only its
+    set's suffix can add to that.
+    """
+    lacks = lambda a, b: F.col(f"{a}.held") - sum(F.bit_count(F.col(f"{a}.m{i}").bitwiseAND(F.bitwise_not(F.col(f"{b}.m{i}")))) for i in range(MARKS))
+    shared, sizes = F.least(lacks("a", "b"), lacks("b", "a")), (_size("a.place"), _size("b.place"))
+    suffix = F.floor((F.lit(percent) * F.greatest(*sizes) + F.lit(99)) / F.lit(100)) - F.lit(1)
+    return shared, F.lit(100 + percent) * (shared + suffix) >= F.lit(percent) * (sizes[0] + sizes[1])
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -337,10 +352,11 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
             break
         last = k == STAR_ROUNDS or all_pairs <= FEW_PAIRS * rows
         if last:
-            a = open_.select("shingle", F.col("node").alias("u"), F.col("place").alias("p"), F.col("component").alias("c"))
-            b = open_.select("shingle", F.col("node").alias("v"), F.col("place").alias("q"), F.col("component").alias("d"))
-            pairs = a.join(b, "shingle").filter("u < v AND c <> d").filter(_near_size("p", "q", percent))
-            pairs = pairs.groupBy("u", "v").agg(F.count(F.lit(1)).alias("shared"), F.max(_size("p")).alias("a"), F.max(_size("q")).alias("b")).filter(_enough_shared(percent))
+            marked = saved(_with_marks(open_))
+            shared, enough = _may_share(percent)
+            apart = (F.col("a.shingle") == F.col("b.shingle")) & F.expr("a.node < b.node AND a.component <> b.component")
+            fits = _near_size("a.place", "b.place", percent) & _in_reach("a.place", "b.place", percent) & enough
+            pairs = marked.alias("a").join(marked.alias("b"), apart & fits).select(F.col("a.node").alias("u"), F.col("b.node").alias("v"), shared.alias("shared")).distinct()
         else:
             leader = F.min_by(F.struct("node", "place", "component"), F.xxhash64(F.col("node") + F.lit(k)))
             led = open_.groupBy("shingle").agg(leader.alias("l")).select("shingle", F.col("l.node").alias("u"), F.col("l.place").alias("p"), F.col("l.component").alias("c"))
