@@ -148,6 +148,22 @@ def test_resampling_keeps_a_tone_and_segments_find_it():
     assert len(spans) == 1 and abs(spans[0][0] * 128 / 8000 - 0.3) < 0.05 and abs(spans[0][1] * 128 / 8000 - 0.6) < 0.05
 
 
+def test_every_part_of_a_text_is_in_a_tensor(texts):
+    r = random.Random(5)
+    long = "".join(r.choice("abcdefghij klmno\n") for _ in range(3000))
+    for text in [long, long[:1], long[:100], long[:576], long[:700], *sorted(texts.values())[:30]]:
+        n, _, _, f = audio.analysed(text)
+        begin, end = f["begin_s"].to_pylist(), f["end_s"].to_pylist()
+        assert begin[0] == 0 and begin[1:] == end[:-1] and end[-1] >= len(audio.payload_of(text)[1]) / audio.RATE
+        assert not text or audio.described(text)[-1] != audio.described("")[-1]
+        if text is long:  # the fill has no say in what is loud
+            loud = [x for x, e in zip(f["loud"].to_pylist(), end) if e * audio.RATE < n - 600]
+            assert any(loud) and not all(loud)
+    was = audio.described(long)[-1]
+    for k in range(0, len(long), 7):
+        assert audio.described(long[:k] + ("p" if long[k] != "p" else "q") + long[k + 1 :])[-1] != was
+
+
 def test_kneser_ney_sums_to_one_and_tells_junk(spark):
     c = np.random.default_rng(1).integers(0, 3, kneser_ney.CLASSES**kneser_ney.ORDER) * (np.random.default_rng(2).random(kneser_ney.CLASSES**kneser_ney.ORDER) < 0.01)
     p = np.exp(kneser_ney.log_probabilities(c).astype(float)).reshape(-1, kneser_ney.CLASSES).sum(1)

@@ -2,10 +2,12 @@
 
 A payload is stored losslessly as an 8-bit mono PCM WAV and read back. The samples
 are resampled by a polyphase filter, cut into overlapping windowed frames and
-turned into log-mel energies. Segments begin where a frame's energy passes the
-upper threshold and end where it falls below the lower one. Each segment's
-frames are averaged into a tensor of fixed shape; tensors and time spans are stored
-as an Arrow stream with the fixed-shape tensor type.
+turned into log-mel energies. Loud segments begin where a frame's energy passes the
+upper threshold and end where it falls below the lower one; the thresholds stand
+around the mean of the frames that hold text alone, so the fill has no say in them.
+What lies between is quiet segments, so every frame is in one. A segment's frames
+are the rows of tensors of fixed shape, as many tensors as it takes; these, their
+time spans and kind are stored as an Arrow stream with the fixed-shape tensor type.
 
 Defined results: a null or empty text is a payload of one unit of fill bytes; equal
 texts have equal values; an empty table gives an empty result; other columns are
@@ -31,9 +33,9 @@ RATE, UP, DOWN = 16_000, 1, 2
 FRAME, HOP, MELS = 256, 128, 24
 #: Frames worked on at once.
 CHUNK = 1024
-#: Rows of a segment's tensor: its frames averaged into so many spans.
+#: Rows of a tensor, one frame each; rows past the last frame repeat frames.
 SPANS = 8
-#: Decibels above the clip's mean frame energy at which a segment begins, and below which it ends.
+#: Decibels above the mean frame energy of the text at which a segment begins, and below which it ends.
 BEGIN_DB, END_DB = 0.4, 0.0
 
 
@@ -97,10 +99,11 @@ def resampled(x: np.ndarray) -> np.ndarray:
 
 
 def log_mel(y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log-mel energies in dB (frames x MELS) and frame energies in dB."""
+    """Log-mel energies in dB (frames x MELS) and frame energies in dB; frame k is centred on sample k * HOP, so the ends have weight too."""
     _, window, filters = tables()
-    frames = 1 + max(0, -(-(len(y) - FRAME) // HOP))
-    y = np.concatenate([y, np.zeros(max(0, FRAME + HOP * (frames - 1) - len(y)))])
+    half = FRAME // 2
+    frames = 1 + -(-len(y) // HOP)
+    y = np.concatenate([np.zeros(half), y, np.zeros(half + HOP * (frames - 1) - len(y))])
     view = np.lib.stride_tricks.sliding_window_view(y, FRAME)[::HOP]
     mels, energy = [], []
     for lo in range(0, frames, CHUNK):
@@ -108,12 +111,12 @@ def log_mel(y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         power = np.abs(np.fft.rfft(part * window)) ** 2
         mels.append(10 * np.log10(np.einsum("ij,jk->ik", power, filters) + 1e-10))
         energy.append(10 * np.log10((part * part).mean(1) + 1e-10))
-    return np.round(np.concatenate(mels), 1), np.round(np.concatenate(energy), 2)
+    return np.round(np.concatenate(mels), 2), np.round(np.concatenate(energy), 2)
 
 
-def segments(energy: np.ndarray) -> list[tuple[int, int]]:
-    """First frame and the one past the last, by two thresholds around the mean energy."""
-    mean, out, begun = energy.mean(), [], None
+def segments(energy: np.ndarray, mean: float | None = None) -> list[tuple[int, int]]:
+    """First frame and the one past the last of what is loud, by two thresholds around the mean energy."""
+    mean, out, begun = energy.mean() if mean is None else mean, [], None
     high, low = energy > mean + BEGIN_DB, energy < mean + END_DB
     for k in np.flatnonzero(high | low).tolist():
         if begun is None and high[k]:
@@ -124,18 +127,34 @@ def segments(energy: np.ndarray) -> list[tuple[int, int]]:
     return out + ([(begun, len(energy))] if begun is not None else [])
 
 
-def tensors(mels: np.ndarray, spans: list[tuple[int, int]]) -> pa.RecordBatch:
-    """A SPANS x MELS tensor and the time span in seconds for each segment."""
-    out = np.zeros((len(spans), SPANS, MELS), np.float32)
-    for k, (a, b) in enumerate(spans):
-        cuts = a + (b - a) * np.arange(SPANS + 1) // SPANS
-        for s in range(SPANS):
-            out[k, s] = np.round(mels[cuts[s] : max(cuts[s] + 1, cuts[s + 1])].mean(0), 1)
+def text_mean(energy: np.ndarray, n: int) -> float:
+    """Mean energy of the frames that hold nothing but the first n payload bytes; for shorter texts, of those centred on them."""
+    end, half = n * UP / DOWN, FRAME // 2
+    centre = np.arange(len(energy)) * HOP
+    for own in ((centre >= half) & (centre + half <= end), centre <= end):
+        if own.any():
+            return energy[own].mean()
+    return energy.mean()
+
+
+def pieces(loud: list[tuple[int, int]], frames: int) -> list[tuple[int, int, bool]]:
+    """The loud segments and the quiet ones between them, cut to SPANS frames at most; together they hold every frame once."""
+    out, at = [], 0
+    for a, b, kind in [(a, b, True) for a, b in loud] + [(frames, frames, True)]:
+        out += [(at, a, False), (a, b, kind)]
+        at = b
+    return [(lo, min(b, lo + SPANS), kind) for a, b, kind in out for lo in range(a, b, SPANS)]
+
+
+def tensors(mels: np.ndarray, spans: list[tuple[int, int, bool]]) -> pa.RecordBatch:
+    """The time span in seconds, a SPANS x MELS tensor and whether it is loud for each piece."""
+    a, b, loud = (np.array(x) for x in zip(*spans, strict=True))
+    out = mels[a[:, None] + (b - a)[:, None] * np.arange(SPANS) // SPANS].astype(np.float32)
     kind = pa.fixed_shape_tensor(pa.float32(), [SPANS, MELS])
     flat = pa.FixedSizeListArray.from_arrays(pa.array(out.ravel()), SPANS * MELS)
     hop = HOP * DOWN / (RATE * UP)
-    times = [pa.array([t[i] * hop for t in spans], pa.float64()) for i in (0, 1)]
-    return pa.RecordBatch.from_arrays([*times, pa.ExtensionArray.from_storage(kind, flat)], ["begin_s", "end_s", "log_mel"])
+    times = [pa.array(np.maximum(0, t - 0.5) * hop, pa.float64()) for t in (a, b)]
+    return pa.RecordBatch.from_arrays([*times, pa.ExtensionArray.from_storage(kind, flat), pa.array(loud)], ["begin_s", "end_s", "log_mel", "loud"])
 
 
 def analysed(text: str) -> tuple[int, bytes, bytes, pa.RecordBatch]:
@@ -145,7 +164,7 @@ def analysed(text: str) -> tuple[int, bytes, bytes, pa.RecordBatch]:
     back = samples_of(media)
     x = (np.frombuffer(back, np.uint8).astype(np.float64) - 128) / 128
     mels, energy = log_mel(resampled(x))
-    return n, media, back, tensors(mels, segments(energy))
+    return n, media, back, tensors(mels, pieces(segments(energy, text_mean(energy, n)), len(energy)))
 
 
 def ipc(batch: pa.RecordBatch) -> bytes:
@@ -158,7 +177,7 @@ def ipc(batch: pa.RecordBatch) -> bytes:
 def described(text: str) -> tuple:
     n, media, back, f = analysed(text)
     shown = hashlib.sha256(f.column(2).storage.flatten().to_numpy(zero_copy_only=False).tobytes())
-    shown.update(np.array([*f.column(0).to_pylist(), *f.column(1).to_pylist()]).tobytes())
+    shown.update(np.array([*f.column(0).to_pylist(), *f.column(1).to_pylist(), *f.column(3).to_pylist()]).tobytes())
     return n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-32:]), len(media), hashlib.sha256(media).hexdigest(), f"{f.num_rows} segments {shown.hexdigest()[:32]}"
 
 
@@ -180,7 +199,7 @@ def _rows(docs: DataFrame, make, schema: str, kinds: list[pa.DataType]) -> DataF
 
 
 def audio_media(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, the WAV and its features (an Arrow stream of begin_s, end_s, log_mel) of every text."""
+    """doc_id, n_bytes, the WAV and its features (an Arrow stream of begin_s, end_s, log_mel, loud) of every text."""
 
     def make(text: str) -> tuple:
         n, media, _, f = analysed(text)
