@@ -149,19 +149,45 @@ def test_resampling_keeps_a_tone_and_segments_find_it():
 
 
 def test_every_part_of_a_text_is_in_a_tensor(texts):
-    r = random.Random(5)
+    r, shown = random.Random(5), lambda x: audio.described(*audio.analysed(x)[1:])[-1]
     long = "".join(r.choice("abcdefghij klmno\n") for _ in range(3000))
     for text in [long, long[:1], long[:100], long[:576], long[:700], *sorted(texts.values())[:30]]:
-        n, _, _, f = audio.analysed(text)
+        n, _, stored = audio.analysed(text)
+        f = pa.ipc.open_stream(stored).read_all()
         begin, end = f["begin_s"].to_pylist(), f["end_s"].to_pylist()
         assert begin[0] == 0 and begin[1:] == end[:-1] and end[-1] >= len(audio.payload_of(text)[1]) / audio.RATE
-        assert not text or audio.described(text)[-1] != audio.described("")[-1]
+        assert not text or shown(text) != shown("")
         if text is long:  # the fill has no say in what is loud
             loud = [x for x, e in zip(f["loud"].to_pylist(), end) if e * audio.RATE < n - 600]
             assert any(loud) and not all(loud)
-    was = audio.described(long)[-1]
+    was = shown(long)
     for k in range(0, len(long), 7):
-        assert audio.described(long[:k] + ("p" if long[k] != "p" else "q") + long[k + 1 :])[-1] != was
+        assert shown(long[:k] + ("p" if long[k] != "p" else "q") + long[k + 1 :]) != was
+
+
+@pytest.mark.parametrize(("up", "down"), [(1, 2), (3, 2), (2, 3), (3, 4), (5, 1)])
+def test_resampling_equals_stuffing_filtering_and_thinning(monkeypatch, up, down):
+    monkeypatch.setattr(audio, "UP", up)
+    monkeypatch.setattr(audio, "DOWN", down)
+    t = np.arange(1001) / audio.RATE
+    x = np.sin(2 * np.pi * 440 * t)
+    half = up * -(-8 * max(up, down) // up)
+    k = np.arange(-half, half + 1)
+    low = np.sinc(k / max(up, down)) * np.hamming(2 * half + 1)
+    stuffed = np.zeros(len(x) * up)
+    stuffed[::up] = x
+    want = np.convolve(stuffed, low * up / low.sum())[half : half + len(stuffed)][::down]
+    got = audio.resampled(x)
+    assert len(got) == len(want) == -(-len(x) * up // down) and abs(got - want).max() < 1e-9
+    inner = np.arange(len(got))[100:-100]
+    assert abs(got[inner] - np.sin(2 * np.pi * 440 * inner * down / up / audio.RATE)).max() < 0.01
+
+
+def test_digests_come_from_stored_media(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(audio, "saved", lambda df: stored.append(df.columns) or df)
+    assert queries.op6_media_columns(spark, SF).count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert stored == [["doc_id", "n_bytes", "media", "features"]]
 
 
 def test_kneser_ney_sums_to_one_and_tells_junk(spark):

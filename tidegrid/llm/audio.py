@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import per_process
+from tidegrid.llm.common import per_process, saved
 
 UNIT, FILL = 576, b"\xff"
 RATE, UP, DOWN = 16_000, 1, 2
@@ -64,9 +64,9 @@ def samples_of(media: bytes) -> bytes:
 
 def tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Filter phases (UP x taps), window, mel filters (bins x MELS)."""
-    kept = per_process()
-    if "audio" not in kept:
-        half = 8 * max(UP, DOWN)
+    kept, key = per_process(), f"audio {UP}/{DOWN}"
+    if key not in kept:
+        half = UP * -(-8 * max(UP, DOWN) // UP)  # whole input samples, so phase p is p past an input sample
         n = np.arange(-half, half + 1)
         low = np.sinc(n / max(UP, DOWN)) * np.hamming(2 * half + 1)
         low *= UP / low.sum()
@@ -78,8 +78,8 @@ def tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         edges = 700 * (10 ** (np.linspace(mel(50), mel(RATE * UP / DOWN / 2), MELS + 2) / 2595) - 1)
         f = np.fft.rfftfreq(FRAME, DOWN / (RATE * UP))[:, None]
         left, mid, right = edges[:-2], edges[1:-1], edges[2:]
-        kept["audio"] = phases, np.hanning(FRAME), np.maximum(0, np.minimum((f - left) / (mid - left), (right - f) / (right - mid)))
-    return kept["audio"]
+        kept[key] = phases, np.hanning(FRAME), np.maximum(0, np.minimum((f - left) / (mid - left), (right - f) / (right - mid)))
+    return kept[key]
 
 
 def resampled(x: np.ndarray) -> np.ndarray:
@@ -157,14 +157,17 @@ def tensors(mels: np.ndarray, spans: list[tuple[int, int, bool]]) -> pa.RecordBa
     return pa.RecordBatch.from_arrays([*times, pa.ExtensionArray.from_storage(kind, flat), pa.array(loud)], ["begin_s", "end_s", "log_mel", "loud"])
 
 
-def analysed(text: str) -> tuple[int, bytes, bytes, pa.RecordBatch]:
-    """Unpadded bytes, the stored form, the samples read back from it, and their features."""
-    n, payload = payload_of(text)
-    media = wav(payload)
-    back = samples_of(media)
-    x = (np.frombuffer(back, np.uint8).astype(np.float64) - 128) / 128
+def features_of(n: int, payload: bytes) -> pa.RecordBatch:
+    """The tensors of a payload whose first n bytes are text."""
+    x = (np.frombuffer(payload, np.uint8).astype(np.float64) - 128) / 128
     mels, energy = log_mel(resampled(x))
-    return n, media, back, tensors(mels, pieces(segments(energy, text_mean(energy, n)), len(energy)))
+    return tensors(mels, pieces(segments(energy, text_mean(energy, n)), len(energy)))
+
+
+def analysed(text: str) -> tuple[int, bytes, bytes]:
+    """Unpadded bytes, and what is stored: the WAV and its features (an Arrow stream)."""
+    n, payload = payload_of(text)
+    return n, wav(payload), ipc(features_of(n, payload))
 
 
 def ipc(batch: pa.RecordBatch) -> bytes:
@@ -174,40 +177,39 @@ def ipc(batch: pa.RecordBatch) -> bytes:
     return out.getvalue().to_pybytes()
 
 
-def described(text: str) -> tuple:
-    n, media, back, f = analysed(text)
-    shown = hashlib.sha256(f.column(2).storage.flatten().to_numpy(zero_copy_only=False).tobytes())
-    shown.update(np.array([*f.column(0).to_pylist(), *f.column(1).to_pylist(), *f.column(3).to_pylist()]).tobytes())
-    return n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-32:]), len(media), hashlib.sha256(media).hexdigest(), f"{f.num_rows} segments {shown.hexdigest()[:32]}"
+def described(media: bytes, features: bytes) -> tuple:
+    """Payload bytes and digests of what is read from a stored WAV and its stored features."""
+    back, f = samples_of(media), pa.ipc.open_stream(features).read_all()
+    tensor = f["log_mel"].combine_chunks().storage.flatten().to_numpy(zero_copy_only=False)
+    shown = hashlib.sha256(tensor.tobytes())
+    shown.update(np.array([x for c in ("begin_s", "end_s", "loud") for x in f[c].to_pylist()], np.float64).tobytes())
+    return len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-32:]), len(media), hashlib.sha256(media).hexdigest(), f"{f.num_rows} segments {shown.hexdigest()[:32]}"
 
 
 STORED = "doc_id long, n_bytes long, media binary, features binary"
 DIGESTS = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
-def _rows(docs: DataFrame, make, schema: str, kinds: list[pa.DataType]) -> DataFrame:
+def _rows(rows: DataFrame, kept: int, make, schema: str, kinds: list[pa.DataType]) -> DataFrame:
+    """The first columns of rows, so many of them, and what make gives for the others."""
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 200):
                 part = batch.slice(lo, 200)
-                cols = zip(*[make(x or "") for x in part.column(1).to_pylist()], strict=True)
-                yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(c, t) for c, t in zip(cols, kinds, strict=True)]], names)
+                cols = zip(*[make(*x) for x in zip(*[c.to_pylist() for c in part.columns[kept:]], strict=True)], strict=True)
+                yield pa.RecordBatch.from_arrays([*part.columns[:kept], *[pa.array(c, t) for c, t in zip(cols, kinds, strict=True)]], names)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def audio_media(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, the WAV and its features (an Arrow stream of begin_s, end_s, log_mel, loud) of every text."""
-
-    def make(text: str) -> tuple:
-        n, media, _, f = analysed(text)
-        return n, media, ipc(f)
-
-    return _rows(docs, make, STORED, [pa.int64(), pa.binary(), pa.binary()])
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return _rows(texts, 1, lambda text: analysed(text or ""), STORED, [pa.int64(), pa.binary(), pa.binary()])
 
 
 def audio_digests(docs: DataFrame) -> DataFrame:
-    """Sizes and checksums of the stored form, of what is read back from it, and of its features."""
-    return _rows(docs, described, DIGESTS, [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()])
+    """Sizes and checksums of the media and features of every text, stored as a table and read back from it."""
+    return _rows(saved(audio_media(docs)), 2, described, DIGESTS, [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()])
