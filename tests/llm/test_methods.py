@@ -236,6 +236,20 @@ def test_the_join_loses_no_link(spark, texts, monkeypatch, n, percent, few):
     assert got == brute_components(all_, n, percent)
 
 
+def test_short_forms_refuse_no_link():
+    y = np.arange(20, dtype=np.uint64) << np.uint64(50)
+    y[9] = y[10]
+    y[10] += np.uint64(1)  # equal in 16 bits on both sides of the middle
+    x = np.delete(y, [1, 3, 5])
+    assert ngram_join.linked(x, y, 85) and len(set(y.tolist())) == 20
+    assert ngram_join.may_link(ngram_join.short_form(x), ngram_join.short_form(y), 85)
+    r = np.random.default_rng(6)
+    for _ in range(4000):  # few leading bits, so many short values are equal
+        y = np.unique(r.integers(0, 40, 40).astype(np.uint64) << np.uint64(48) | r.integers(0, 1 << 40, 40).astype(np.uint64))
+        x = np.sort(r.choice(y, -(-85 * len(y) // 100), replace=False))
+        assert ngram_join.linked(x, y, 85) and ngram_join.may_link(ngram_join.short_form(x), ngram_join.short_form(y), 85)
+
+
 @pytest.mark.parametrize("few", [0, 100_000])
 def test_components_of_a_long_chain(spark, monkeypatch, few):
     monkeypatch.setattr("tidegrid.llm.components.ONE_TASK_LINKS", few)

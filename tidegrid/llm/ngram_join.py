@@ -128,7 +128,7 @@ def least_overlap(a: int, b: int, percent: int) -> int:
 
 
 def suffix_bound(x: np.ndarray, y: np.ndarray, depth: int = 2) -> int:
-    """At most so many shared values of two sorted sets, by halving them at a common value."""
+    """At most so many shared values of two sorted sets of distinct values, by halving them at a common value."""
     if not depth or len(x) < 8 or len(y) < 8:
         return min(len(x), len(y))
     pivot = y[len(y) // 2]
@@ -257,12 +257,15 @@ def short_form(h: np.ndarray) -> bytes:
 
 
 def may_link(x: pa.Buffer, y: pa.Buffer, percent: int) -> bool:
-    """False only if two sets can't reach the threshold, told from their short forms: what is equal stays equal in them."""
+    """False only if two sets can't reach the threshold, told from their short forms: what is equal stays equal in them.
+
+    Values of short forms can repeat, so suffix_bound, which halves sets of distinct values, has no place here.
+    """
     a, b = (np.frombuffer(z, "<u2" if z[0] == 2 else "<u4", offset=1) for z in (x, y))
     if a.dtype != b.dtype:
         a, b = ((z >> 16).astype("<u2") if z.dtype.itemsize == 4 else z for z in (a, b))
     need = least_overlap(len(a), len(b), percent)
-    return suffix_bound(a, b) >= need and found_in(a, b) >= need and found_in(b, a) >= need
+    return found_in(a, b) >= need and found_in(b, a) >= need
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
