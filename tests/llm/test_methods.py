@@ -102,6 +102,14 @@ def test_language_id_is_right_on_held_out_documents(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
 
 
+def test_symbols_beyond_the_basic_plane_are_no_letters():
+    count = lambda x: sum(len(g) for g in langid.grams(x))
+    assert count("😀😀 🚀🚀") == 0 and count("𝟙𝟚") == 0
+    assert [g.tolist() for g in langid.grams("ab 😀 cd")] == [g.tolist() for g in langid.grams("ab   cd")]
+    assert count("𐐀𐐁") > 0 and [g.tolist() for g in langid.grams("𐐀𐐁")] == [g.tolist() for g in langid.grams("𐐨𐐩")]
+    assert langid.Model(["en"], langid.codewords(1), np.ones((langid.BUCKETS, 1), np.float32), np.ones((1, 1))).predict("😀😀 🚀🚀") == ("und", 0.0, True)
+
+
 @pytest.mark.parametrize("n", [1, 2, 4, 7, 12])
 def test_codewords_differ(n):
     c = langid.codewords(n)

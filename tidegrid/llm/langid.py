@@ -54,12 +54,22 @@ def letters() -> np.ndarray:
     return kept["letters"]
 
 
+def lowered(c: np.ndarray) -> np.ndarray:
+    """Code points with letters in lower case and everything else 32."""
+    out = letters()[np.minimum(c, 0xFFFF)]
+    high = c > 0xFFFF
+    if high.any():  # told by the distinct code points of the chunk
+        points, at = np.unique(c[high], return_inverse=True)
+        low = [chr(x).lower() if chr(x).isalpha() else " " for x in points.tolist()]
+        out[high] = np.array([ord(x) if len(x) == 1 else c for c, x in zip(points.tolist(), low, strict=True)], np.uint32)[at]
+    return out
+
+
 def grams(text: str) -> Iterator[np.ndarray]:
     """Buckets of the character 2- and 3-grams of text that hold a letter, chunk by chunk."""
-    table = letters()
     for lo in range(0, len(text), CHUNK):
         c = np.frombuffer(text[max(0, lo - 2) : lo + CHUNK].encode("utf-32-le", "surrogatepass"), np.uint32)
-        c = np.concatenate([np.full(1, 32, np.uint32), np.where(c < 0x10000, table[np.minimum(c, 0xFFFF)], c), np.full(1, 32, np.uint32)])
+        c = np.concatenate([np.full(1, 32, np.uint32), lowered(c), np.full(1, 32, np.uint32)])
         two = c[:-1] * np.uint32(0x9E3779B1) + c[1:] * np.uint32(0x85EBCA6B)
         three = (two[:-1] ^ (two[:-1] >> np.uint32(15))) * np.uint32(0xC2B2AE35) + c[2:] * np.uint32(0x27D4EB2F)
         has = (c[:-1] != 32) | (c[1:] != 32)
