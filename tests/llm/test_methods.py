@@ -208,6 +208,19 @@ def test_kneser_ney_sums_to_one_and_tells_junk(spark):
     assert np.mean(good) > 0.98 and np.mean(bad) < 0.6
 
 
+def test_one_outlier_does_not_set_the_threshold(spark):
+    r = random.Random(8)
+    words = "the quick brown fox jumps over a lazy dog while seven small boats sail home again".split()
+    rows = [(k, " ".join(r.choice(words) for _ in range(60)), "en") for k in range(300)]
+    rows += [(300, "".join(r.choice("qxzjkvw#|0189") for _ in range(300)), "en"), (301, "".join(r.choice("qxzjkvw#|0189") for _ in range(300)), "en")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    good = spark.createDataFrame([(k, 1, 0) for k in range(301)], "doc_id long, quality int, toxic int")
+    got = {x.doc_id: x for x in kneser_ney.classified(d, good).collect()}
+    assert not got[301].kept and not got[300].kept and sum(got[k].kept for k in range(300)) >= 294
+    # The limit is a quantile of scores by models without the document, so above what trained documents get.
+    assert got[0].threshold > np.quantile([got[k].perplexity for k in range(300)], 0.99)
+
+
 def brute_components(texts, n, percent):
     sets, parent = {}, {k: k for k in texts}
     for k, t in texts.items():
