@@ -114,6 +114,15 @@ def test_the_stream_gives_what_one_batch_gives(spark):
     assert rows(a) == rows(b)
 
 
+def test_decisions_wait_for_reviews_and_act_on_accepted_ones(spark):
+    from tidegrid.operators import decisions
+
+    d = spark.createDataFrame([(k,) for k in range(4)], "decision_id long")
+    r = spark.createDataFrame([(0, "accepted"), (0, "accepted"), (1, "rejected"), (2, "rejected"), (2, "accepted")], "decision_id long, verdict string")
+    assert [x.decision_id for x in decisions.pending(d, r).collect()] == [3]
+    assert sorted(x.decision_id for x in decisions.actuated(d, r).collect()) == [0, 2]
+
+
 def test_entry(spark):
     import __spark_entry__
 
