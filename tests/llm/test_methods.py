@@ -299,6 +299,22 @@ def test_html_extraction_equals_the_articles(spark):
         assert got[r.page_id].text == "\n".join(filter(None, blocks)) and got[r.page_id].n_chars == len(got[r.page_id].text)
 
 
+def test_cuts_between_tasks_do_not_change_the_text(spark):
+    r = random.Random(9)
+    rows = [(k, f"http://h{k % 2}/{k:03d}", f"<div>Home {k // 8}</div><div>Contact</div><p>Own {r.random()}</p><p>More {r.random()}</p>") for k in range(60)]
+    rows += [rows[20], rows[21], (None, "http://h0/031", "<div>Contact</div><p>No number</p>")]
+    d, got = spark.createDataFrame(rows, "page_id long, url string, html string"), {}
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    for n in (1, 5, 40):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        try:
+            got[n] = sorted((str(x.page_id), x.text, x.n_lines_shared) for x in html_extract.main_text(d).collect())
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert len(got[1]) == len(rows) and got[1] == got[5] == got[40]
+    assert not any("Contact" in text for k, text, _ in got[1] if k not in ("20", "21"))
+
+
 def test_common_lines_are_a_longest_common_subsequence():
     r = random.Random(3)
     for _ in range(500):

@@ -11,8 +11,9 @@ is a copy of it and tells nothing about the site.
 
 Pages are dealt to tasks by cut points in the order of (host, path, page_id), taken
 from a bounded hash-drawn sample of keys, so a host with a third of all pages is
-split; a task streams its pages with one neighbour on each side. At a cut a page is
-paired within its task.
+split; a task streams its pages with one neighbour on each side. The pages at a cut
+go to the tasks on both sides of it, as guests where they are not judged, so the
+result does not depend on the cuts.
 
 Defined results: null or empty html gives an empty text; a null url is a host of its
 own; repeated rows are copies of each other and stay; a page without a neighbour on
@@ -210,7 +211,35 @@ def cut_points(keys: DataFrame, tasks: int) -> list[tuple]:
     return sorted({found[len(found) * k // tasks] for k in range(1, tasks)}) if found else []
 
 
-LINES = "page_id long, url string, host string, path string, part int, keys array<long>, sizes array<int>, texts array<string>, places array<int>, declared boolean"
+def part_of(cuts: list[tuple], key: tuple) -> int:
+    return bisect.bisect_right(cuts, key)
+
+
+def borders(keys: DataFrame, cuts: list[tuple]) -> dict[tuple, list[int]]:
+    """The first and last key of each task, with the tasks beside it that have pages too."""
+    if not cuts:
+        return {}
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, list[tuple]] = {}
+        for batch in batches:
+            for key in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                own = found.setdefault(part_of(cuts, key), [key, key])
+                own[:] = min(own[0], key), max(own[1], key)
+        rows = [(p, *key) for p, own in found.items() for key in own]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [()] * 4, (pa.int32(), pa.string(), pa.string(), pa.int64()), strict=True)], ["part", "host", "path", "page_id"])
+
+    rows = keys.select("host", "path", F.coalesce("page_id", F.lit(-1)).alias("page_id")).mapInArrow(ends, "part int, host string, path string, page_id long")
+    key = F.struct("host", "path", "page_id")
+    parts = sorted((r[0], tuple(r[1]), tuple(r[2])) for r in rows.groupBy("part").agg(F.min(key), F.max(key)).collect())  # a row a task
+    out: dict[tuple, list[int]] = {}
+    for (p, _, last), (q, first, _) in zip(parts, parts[1:]):
+        out.setdefault(last, []).append(q)
+        out.setdefault(first, []).append(p)
+    return out
+
+
+LINES = "page_id long, url string, host string, path string, part int, keys array<long>, sizes array<int>, texts array<string>, places array<int>, declared boolean, guest boolean"
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -218,6 +247,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     source = keyed(pages)
     tasks = shuffle_partitions(pages.sparkSession)
     cuts = cut_points(source, tasks)
+    beside_cuts = borders(source, cuts)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -229,12 +259,14 @@ def main_text(pages: DataFrame) -> DataFrame:
                     lines = lines_of(r["html"])
                     declared = any(main and not beside for _, main, beside in lines)
                     kept = [k for k, (_, main, beside) in enumerate(lines) if not beside and (main or not declared)]
-                    rows.append(
+                    key = (r["host"], r["path"], -1 if r["page_id"] is None else r["page_id"])
+                    row = (
                         {x: r[x] for x in ("page_id", "url", "host", "path")}
-                        | {"part": bisect.bisect_right(cuts, (r["host"], r["path"], -1 if r["page_id"] is None else r["page_id"]))}
+                        | {"part": part_of(cuts, key), "guest": False}
                         | {"keys": [xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) - (1 << 63) for t, *_ in lines], "sizes": [len(t) for t, *_ in lines]}
                         | {"texts": [lines[k][0] for k in kept], "places": kept, "declared": declared}
                     )
+                    rows += [row, *[row | {"part": p, "guest": True} for p in beside_cuts.get(key, ())]]
                 yield pa.RecordBatch.from_pylist(rows, schema=LINE_SCHEMA)
 
     def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,13 +280,13 @@ def main_text(pages: DataFrame) -> DataFrame:
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 for after in batch.slice(lo, 500).to_pylist():
-                    if page:
+                    if page and not page["guest"]:
                         out.append(made([before, after]))
                     before, page = page, after
                 if out:
                     yield pa.RecordBatch.from_pylist(out, schema=OUT_SCHEMA)
                 out = []
-        if page:
+        if page and not page["guest"]:
             yield pa.RecordBatch.from_pylist([made([before])], schema=OUT_SCHEMA)
 
     dealt = source.mapInArrow(split, LINES).repartition(tasks, "part").sortWithinPartitions("part", "host", "path", F.coalesce("page_id", F.lit(-1)))
@@ -262,6 +294,6 @@ def main_text(pages: DataFrame) -> DataFrame:
 
 
 LINE_SCHEMA = pa.schema(
-    [("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("path", pa.string()), ("part", pa.int32()), ("keys", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("texts", pa.list_(pa.string())), ("places", pa.list_(pa.int32())), ("declared", pa.bool_())]
+    [("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("path", pa.string()), ("part", pa.int32()), ("keys", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("texts", pa.list_(pa.string())), ("places", pa.list_(pa.int32())), ("declared", pa.bool_()), ("guest", pa.bool_())]
 )
 OUT_SCHEMA = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_lines_shared", pa.int32())])
