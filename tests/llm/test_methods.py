@@ -242,9 +242,10 @@ def brute_components(texts, n, percent):
     return {k: (len(sets[k]), root(k)) for k in texts}
 
 
-@pytest.mark.parametrize(("n", "percent", "few"), [(4, 85, 8), (5, 80, 8), (4, 85, 0)])
-def test_the_join_loses_no_link(spark, texts, monkeypatch, n, percent, few):
-    monkeypatch.setattr(ngram_join, "FEW_PAIRS", few)
+@pytest.mark.parametrize(("n", "percent", "few", "hot", "shard"), [(4, 85, 8, 4096, 1 << 21), (5, 80, 8, 3, 1000), (4, 85, 0, 30, 5000)])
+def test_the_join_loses_no_link(spark, texts, monkeypatch, n, percent, few, hot, shard):
+    for name, value in (("FEW_PAIRS", few), ("HOT_LEAST", hot), ("SHARD", shard), ("CHUNK", 1 << 14), ("TEXTS", 20)):
+        monkeypatch.setattr(ngram_join, name, value)
     r, some = random.Random(4), list(texts.values())[:40]
     all_ = dict(texts)
     for k in range(120):  # chains of edits around the threshold

@@ -1,49 +1,53 @@
 """Jaccard self-join of documents on word n-grams, by rare-first prefix filtering.
 
-A document is the set of its distinct n-word shingles. All shingles stand in one
-order, rare before frequent (by a bounded table of hashed document counts over all
-documents; any order gives exact results). Two sets that reach the threshold share
-a shingle in their prefixes, so only prefixes are shuffled. Pairs that meet pass the
-length and positional filters, and, with their sets at hand, the suffix filter; then
-they are verified once.
-
-Pairs within large groups are never all formed at once. Equal sets are one node. In
-star rounds each shingle's nodes are compared with one leader, a number of pairs
-linear in the prefixes; what is linked so is one component. In the last round all pairs
-of nodes that share enough prefix shingles and lie in different components are compared,
-so that no link is lost; it comes at once where shingles are shared by few. In it a
+A document is the set of its distinct n-word shingles. All shingles stand in one order, rare before frequent, by
+their exact numbers of sets over all documents. Two sets that reach the threshold share a shingle in their prefixes,
+and a shingle of one set alone can't be shared, so of a set only those shingles travel on that stand in its prefix and
+that another set has as well. Pairs that meet pass the length and positional filters and, with their sets at hand, the
+suffix filter; then they are verified once.
+
+The counts: equal sets are one node over all tasks, named by the smallest doc_id. Each task deals the shingles of its
+nodes, packed, to shards by their leading bits; as many shards as the corpus needs. A shard counts and answers
+(node, token, count) for each token of two sets or more, where a token is the leading bits of a shingle's hash; shingles
+with one token only make candidates. Shingles in so many sets that they would weigh on a shard are found beforehand over
+all documents, and their few counts are known to all tasks: they stand last in the order and are not dealt out.
+
+Pairs within large groups are never all formed at once. In star rounds each token's nodes are compared with one
+leader, a number of pairs linear in the prefixes; what is linked so is one component. In the last round all pairs
+of nodes that share enough prefix tokens and lie in different components are compared,
+so that no link is lost; it comes at once where tokens are shared by few. In it a
 node is compared with its best partner first, and with others only if they are in
-another component after that. There a pair forms only where its first shared shingle can
-stand and if marks of the two prefixes leave room for enough shared shingles.
+another component after that. There a pair forms only where its first shared token can
+stand and if marks of the two prefixes leave room for enough shared tokens.
 
 Defined results: null and empty texts and texts without words have no shingles and
 link with nothing; with fewer words than n the whole sequence is one shingle; equal
 rows are linked and keep one result each; a null doc_id links with nothing and has
 a null component; an empty table gives an empty result. doc_id tells documents
-apart; columns other than doc_id and text are not read.
+apart (of rows that repeat one with another text, one text stands for it); columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import discard, let_go, per_process, saved, small
+from tidegrid.llm.common import discard, let_go, per_process, saved, shuffle_partitions, small
 from tidegrid.llm.components import components
 
-#: Hashed document counts that order the shingles; 4 bytes each, broadcast (16 MB whatever the input).
-#: Tasks send them in so many parts, which are summed apart.
-BUCKET_BITS, COUNT_PARTS = 22, 64
-#: Bytes of a text worked on at once.
-PIECE = 1 << 20
+#: Bytes of a text worked on at once, texts and shingles held before they are sent on, and shingles of a shard.
+PIECE, TEXTS, CHUNK, SHARD = 1 << 18, 500, 1 << 19, 1 << 21
+#: Leading bits of a hash that tell the shard, at most.
+MOST_BITS = 16
+#: A shingle of so many sets, or of one set in HOT_SHARE, doesn't travel to a shard.
+HOT_LEAST, HOT_SHARE = 4096, 256
 #: Star rounds at most; and all remaining pairs are formed as soon as they are at most so many times the rows that form them.
-STAR_ROUNDS, FEW_PAIRS = 3, 8
+STAR_ROUNDS, FEW_PAIRS = 2, 8
 #: Sets up to this size have 16 bits of each hash compared first.
 SHORT = 1024
 #: Longs that mark the shingles of a node in the last round.
@@ -152,77 +156,175 @@ def _read(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
+    """doc_id and text of few rows at a time."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, TEXTS):
+            part = batch.slice(lo, TEXTS)
+            yield part.column(0).to_pylist(), part.column(1).to_pylist()
+
+
 def _measured(docs: DataFrame, n: int) -> DataFrame:
-    """A row (doc_id, n_shingles, sig) for each document and, from each task, rows (part, counts) for the order."""
-    names = ["doc_id", "n_shingles", "sig", "part", "counts"]
+    """A row (doc_id, n_shingles, sig) for each document and rows (hash, n) of shingles that many documents of a task share."""
+    names = ["doc_id", "n_shingles", "sig", "hash", "n"]
+
+    def often(chunk: list[np.ndarray]) -> pa.RecordBatch:
+        h, count = np.unique(np.concatenate(chunk), return_counts=True)
+        found = count >= max(2, len(chunk) / HOT_SHARE)
+        h, count = h[found].view(np.int64), count[found].astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.nulls(len(h), pa.int64()), pa.nulls(len(h), pa.int64()), pa.nulls(len(h), pa.binary()), pa.array(h), pa.array(count)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make, seen, count = shingles(n), set(), np.zeros(1 << BUCKET_BITS, np.uint32)
-        for batch in batches:
-            size, sig, new = [], [], []
-            for text in batch.column(1).to_pylist():
+        make, chunk, held = shingles(n), [], 0
+        for ids, texts in _texts(batches):
+            size, sig = [], []
+            for text in texts:
                 h = make.of(text or "")
                 size.append(len(h))
                 sig.append(hashlib.md5(h.tobytes()).digest() if len(h) else None)
-                if len(h) and sig[-1] not in seen:
-                    seen.add(sig[-1])
-                    new.append((h >> np.uint64(64 - BUCKET_BITS)).astype(np.uint32))
-            if new:
-                np.add.at(count, np.concatenate(new), np.uint32(1))
-            rows = batch.num_rows
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(sig, pa.binary()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names)
-        if seen:
-            parts = [zlib.compress(x.astype("<u4").tobytes(), 1) for x in np.split(count, COUNT_PARTS)]
-            rows = len(parts)
-            yield pa.RecordBatch.from_arrays([pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.binary()), pa.array(range(rows), pa.int32()), pa.array(parts, pa.binary())], names)
+                if len(h):
+                    chunk.append(h)
+                    held += len(h)
+            rows = len(ids)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(size, pa.int64()), pa.array(sig, pa.binary()), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64())], names)
+            if held >= CHUNK:
+                yield often(chunk)
+                chunk, held = [], 0
+        if chunk:
+            yield often(chunk)
 
-    return _read(docs).mapInArrow(run, "doc_id long, n_shingles long, sig binary, part int, counts binary")
+    return _read(docs).mapInArrow(run, "doc_id long, n_shingles long, sig binary, hash long, n long")
 
 
-def _summed(parts: DataFrame) -> np.ndarray:
-    """The counts of all tasks together."""
+def _hot(often: DataFrame, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes and counts of the shingles of one document in HOT_SHARE or more.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for part, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                counts = np.frombuffer(zlib.decompress(data.as_buffer()), "<u4").astype(np.uint64)
-                total[part] = total[part] + counts if part in total else counts
-        for part, counts in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([np.minimum(counts, (1 << 32) - 1).astype("<u4").tobytes()], pa.binary())], ["part", "counts"])
+    Their counts add up to the corpus's shingles at most, so there are HOT_SHARE times the mean set size at most.
+    """
+    rows = often.groupBy("hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(HOT_LEAST, n_docs / HOT_SHARE)).toPandas()
+    h, count = rows["hash"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(np.int64)
+    order = np.argsort(h)
+    return h[order], count[order]
+
+
+def _packed(ids: np.ndarray) -> bytes:
+    """Ascending numbers as the first and the steps from each to the next."""
+    steps = np.diff(ids).astype(np.uint64)
+    kind = next(k for k in (1, 2, 4, 8) if k == 8 or not len(steps) or int(steps.max()) < 1 << 8 * k)
+    return bytes([kind]) + ids[:1].astype("<i8").tobytes() + steps.astype(f"<u{kind}").tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.concatenate([np.frombuffer(raw, "<i8", 1, 1), np.frombuffer(raw, f"<u{raw[0]}", offset=9).astype(np.int64)]).cumsum()
+
+
+#: What a packed row holds: tokens of a shard and their nodes; nodes, their sizes and how many hot shingles are left out
+#: since they can't stand in the prefix; nodes, hot tokens and their counts.
+TOKENS, NODES, HOT = 0, 1, 2
+
+
+def _dealt(nodes: DataFrame, n: int, percent: int, bits: int, hot) -> DataFrame:
+    """The shingles of nodes, packed by shard (the leading bits of their hashes, of which the next 32 are kept)."""
+
+    def sent(ids: list[int], sets: list[np.ndarray]) -> Iterator[tuple]:
+        order = sorted(range(len(ids)), key=ids.__getitem__)
+        ids, sets = np.array([ids[i] for i in order], np.int64), [sets[i] for i in order]
+        size = np.array([len(h) for h in sets], np.int64)
+        h, at = np.concatenate(sets), np.repeat(np.arange(len(ids)), size)
+        any_shard, left_out = int(ids[0]) % (1 << bits), np.zeros(len(ids), np.int64)
+        hashes, counts = hot.value
+        if len(hashes):
+            place = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+            known = hashes[place] == h
+            many = np.bincount(at[known], minlength=len(ids))
+            reach = size - many < size - -(-percent * size // 100) + 1
+            goes = known & reach[at]
+            left_out = np.where(reach, 0, many)
+            if goes.any():
+                yield any_shard, HOT, ids[at[goes]].tobytes(), (h[goes] >> np.uint64(32 - bits)).tobytes(), counts[place[goes]].tobytes()
+            h, at = h[~known], at[~known]
+        yield any_shard, NODES, ids.tobytes(), size.tobytes(), left_out.tobytes()
+        shard = (h >> np.uint64(64 - bits)).astype(np.uint16) if bits else np.zeros(len(h), np.uint16)
+        order = np.argsort(shard, kind="stable")
+        low, of, edge = (h[order] >> np.uint64(32 - bits)).astype("<u4"), ids[at[order]], np.searchsorted(shard[order], np.arange((1 << bits) + 1))
+        for s in np.flatnonzero(np.diff(edge)):
+            yield int(s), TOKENS, low[edge[s] : edge[s + 1]].tobytes(), _packed(of[edge[s] : edge[s + 1]]), None
+
+    def batch(rows) -> pa.RecordBatch:
+        cols = list(zip(*rows, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["shard", "kind", "a", "b", "c"])
 
-    out = np.zeros((COUNT_PARTS, (1 << BUCKET_BITS) // COUNT_PARTS), np.uint32)
-    for row in parts.repartition(COUNT_PARTS, "part").mapInArrow(run, "part int, counts binary").toLocalIterator():
-        out[row["part"]] = np.frombuffer(row["counts"], "<u4")
-    return out.ravel()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make, ids, sets, held = shingles(n), [], [], 0
+        for docs, texts in _texts(batches):
+            for doc, text in zip(docs, texts, strict=True):
+                if len(h := make.of(text or "")):
+                    ids.append(doc)
+                    sets.append(h)
+                    held += len(h)
+            if held >= CHUNK:
+                yield batch(sent(ids, sets))
+                ids, sets, held = [], [], 0
+        if ids:
+            yield batch(sent(ids, sets))
+
+    return nodes.mapInArrow(run, "shard int, kind int, a binary, b binary, c binary")
+
+
+def _answered(dealt: DataFrame) -> DataFrame:
+    """node, token and n for the tokens of two shingles or more, from rows in the order of their shards.
+
+    A row without a token has a node's size as n and in out the number of its hot shingles that are left out.
+    """
 
+    def table(node, token, n, out) -> Iterator[pa.RecordBatch]:
+        for lo in range(0, len(node), 1 << 17):
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(node[lo : lo + (1 << 17)]), pa.int64()) if x is None else pa.array(x[lo : lo + (1 << 17)]) for x in (node, token, n, out)], ["node", "token", "n", "out"])
 
-def _prefixes(docs: DataFrame, n: int, percent: int, counts) -> DataFrame:
-    """doc_id, shingle and place (set size and position) of the prefixes; equal sets once a task."""
+    def counted(shard: int, low: list[np.ndarray], of: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        low, of = np.concatenate(low), np.concatenate(of)
+        order = np.argsort(low, kind="stable")
+        low = low[order]
+        edge = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1], [True]]))
+        n = np.repeat(np.diff(edge), np.diff(edge))
+        more = n > 1
+        yield from table(of[order[more]], (shard << 32) + low[more].astype(np.int64), n[more], None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make, seen, freq = shingles(n), set(), counts.value
+        now, low, of = None, [], []
         for batch in batches:
-            ids, out, at = [], [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                h = make.of(text or "")
-                if doc is None or not len(h) or (sig := hashlib.md5(h.tobytes()).digest()) in seen:
-                    continue
-                seen.add(sig)
-                p = prefix_length(len(h), percent)
-                f = freq[h >> np.uint64(64 - BUCKET_BITS)]
-                if p < len(h) // 2 and len(h) > 64:  # only the rarest need sorting; ties stay whole
-                    near = f <= np.partition(f, p - 1)[p - 1]
-                    h, f, size = h[near], f[near], len(h)
+            for k in range(batch.num_rows):
+                shard, kind, (a, b, c) = batch.column(0)[k].as_py(), batch.column(1)[k].as_py(), (batch.column(i)[k].as_py() for i in (2, 3, 4))
+                if kind == NODES:
+                    yield from table(np.frombuffer(a, np.int64), None, np.frombuffer(b, np.int64), np.frombuffer(c, np.int64))
+                elif kind == HOT:
+                    yield from table(np.frombuffer(a, np.int64), np.frombuffer(b, np.int64), np.frombuffer(c, np.int64), None)
                 else:
-                    size = len(h)
-                out.append(h[np.argsort(f, kind="stable")[:p]])
-                ids.append(np.full(p, doc, np.int64))
-                at.append((size << 32) + np.arange(p, dtype=np.int64))
-            if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(out).view(np.int64)), pa.array(np.concatenate(at))], ["doc_id", "shingle", "place"])
-
-    return _read(docs).mapInArrow(run, "doc_id long, shingle long, place long")
+                    if shard != now and low:
+                        yield from counted(now, low, of)
+                        low, of = [], []
+                    now = shard
+                    low.append(np.frombuffer(a, "<u4"))
+                    of.append(_unpacked(b))
+        if low:
+            yield from counted(now, low, of)
+
+    return dealt.mapInArrow(run, "node long, token long, n long, out long")
+
+
+def _prefixes(nodes: DataFrame, n: int, percent: int, total: int, hot) -> DataFrame:
+    """node, shingle (its token) and place (set size and position) of the shared shingles in the prefixes of nodes (doc_id, text)."""
+    bits = min(MOST_BITS, max(0, total // SHARD).bit_length())
+    dealt = _dealt(nodes, n, percent, bits, hot).repartition(max(shuffle_partitions(nodes.sparkSession), 1 << bits), "shard").sortWithinPartitions("shard")
+    of_node, by_rarity = Window.partitionBy("node"), Window.partitionBy("node").orderBy(F.col("token").isNull(), "n", "token")
+    ranked = _answered(dealt).select(
+        "node", "token", F.row_number().over(by_rarity).alias("rank"),
+        F.max(F.when(F.col("token").isNull(), F.col("n"))).over(of_node).alias("size"), (F.count("token").over(of_node) + F.max("out").over(of_node)).alias("known"),
+    )
+    # The shingles that no other set has come first, then the shared ones by their counts.
+    ranked = ranked.withColumn("at", F.col("size") - F.col("known") + F.col("rank") - F.lit(1)).filter("token IS NOT NULL")
+    within = F.col("at") < F.col("size") - F.floor((F.lit(percent) * F.col("size") + F.lit(99)) / F.lit(100)) + F.lit(1)
+    return ranked.filter(within).select("node", F.col("token").alias("shingle"), (F.shiftleft("size", 32) + F.col("at")).alias("place"))
 
 
 def _per_node(docs: DataFrame, nodes: DataFrame, make_of) -> DataFrame:
@@ -334,18 +436,23 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every row of docs."""
     spark = docs.sparkSession
     both = saved(_measured(docs, n))
-    counts = spark.sparkContext.broadcast(_summed(both.filter("part IS NOT NULL").select("part", "counts")))
+    measured = both.filter("hash IS NULL").select("doc_id", "n_shingles", "sig")
 
     # Equal sets are one node, named by their smallest doc_id.
-    measured = both.filter("part IS NULL").select("doc_id", "n_shingles", "sig")
-    named = measured.filter("doc_id IS NOT NULL AND sig IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("rep"))
-    members = saved(measured.join(named, "sig", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep")))
-
-    prefixes = _prefixes(docs, n, percent, counts)
+    named = measured.filter("doc_id IS NOT NULL AND sig IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("size"))
+    members = saved(measured.join(named.select("sig", "rep"), "sig", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep")))
+    nodes = saved(named.select(F.col("rep").alias("node"), "size"))
+    n_docs, total = nodes.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    hot = spark.sparkContext.broadcast(_hot(both.filter("hash IS NOT NULL").select("hash", "n"), n_docs))
+    texts = _read(docs).join(small(nodes.select("node"), 16), F.col("doc_id") == F.col("node"), "left_semi")
+    if not members.filter("doc_id = rep AND n_shingles > 0").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+        texts = texts.dropDuplicates(["doc_id"])
+
+    prefixes = saved(_prefixes(texts, n, percent, total, hot))
     shared = prefixes.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("shingle")
-    # A node of the rounds is a document; equal sets of other tasks are nodes of their own and link like others.
-    open_ = saved(prefixes.join(shared, "shingle", "left_semi").select(F.col("doc_id").alias("node"), "shingle", "place", F.col("doc_id").alias("component")))
-    del prefixes, shared
+    open_ = saved(prefixes.join(shared, "shingle", "left_semi").withColumn("component", F.col("node")))
+    discard(prefixes, nodes)
+    del shared, texts
     let_go(spark)
     links = spark.createDataFrame([], "u long, v long")
     for k in range(STAR_ROUNDS + 1):
@@ -361,7 +468,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
             fits = _near_size("a.place", "b.place", percent) & _in_reach("a.place", "b.place", percent) & enough
             pairs = marked.alias("a").join(marked.alias("b"), apart & fits).select(F.col("a.node").alias("u"), F.col("b.node").alias("v"), shared.alias("shared")).distinct()
         else:
-            leader = F.min_by(F.struct("node", "place", "component"), F.xxhash64(F.col("node") + F.lit(k)))
+            # First the node with the fewest rarer shingles of its own, as a text has that others were made from; then any.
+            first = [F.col("place").bitwiseAND(F.lit((1 << 32) - 1))] if not k else []
+            leader = F.min_by(F.struct("node", "place", "component"), F.struct(*first, F.xxhash64(F.col("node") + F.lit(k)), "node"))
             led = open_.groupBy("shingle").agg(leader.alias("l")).select("shingle", F.col("l.node").alias("u"), F.col("l.place").alias("p"), F.col("l.component").alias("c"))
             pairs = open_.join(led, "shingle").filter("component <> c").filter(_near_size("p", "place", percent) & _in_reach("p", "place", percent))
             pairs = pairs.select(F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v")).distinct()
@@ -382,8 +491,6 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
         open_ = saved(open_.join(mixed, "shingle", "left_semi"))
         discard(done)
     discard(open_, both)
-    names = members.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("u"), "rep").distinct()
-    links = links.join(names, "u").select(F.col("rep").alias("x"), F.col("v").alias("u")).join(names, "u").select(F.col("x").alias("u"), F.col("rep").alias("v"))
     comp = components(links)
     return (
         members.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
