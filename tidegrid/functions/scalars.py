@@ -29,9 +29,14 @@ def lineage_of_reading(meter: Column, interval_ms: Column, payload: Column, inge
     return short_sha(F.lit("reading"), meter, to_iso(interval_ms), payload, to_iso(ingest_ms), source, sep=UNIT_SEPARATOR)
 
 
+def derived(kind: str, key: Column, parents: Column) -> Column:
+    """The lineage of what was made of parents (an array, in any order, repeats not counting)."""
+    joined = F.array_join(F.array_sort(F.array_distinct(parents)), UNIT_SEPARATOR)
+    return short_sha(F.lit(kind), key, F.when(F.size(parents) > 0, joined), sep=UNIT_SEPARATOR)
+
+
 def lineage_of_result(meter: Column, interval_ms: Column, revision: Column, parents: Column) -> Column:
-    key = F.concat_ws("|", meter, to_iso(interval_ms), F.concat(F.lit("r"), revision.cast("string")))
-    return short_sha(F.lit("result"), key, F.array_join(F.array_sort(F.array_distinct(parents)), UNIT_SEPARATOR), sep=UNIT_SEPARATOR)
+    return derived("window", F.concat_ws("|", meter, to_iso(interval_ms), F.concat(F.lit("r"), revision.cast("string"))), parents)
 
 
 def decision_id(contract: Column, entity: Column, at_ms: Column) -> Column:

@@ -10,8 +10,22 @@ INTERVAL = 15 * MINUTE
 
 
 def from_iso(text: Column) -> Column:
-    """Milliseconds (floored) of an ISO text with an offset; null without one or if malformed."""
-    return F.when(text.rlike(r"(?:Z|[+-]\d{2}:?\d{2})$"), F.unix_millis(F.try_to_timestamp(text)))
+    """Milliseconds (floored) of an ISO text with a date, seconds and an offset; null without these or if malformed.
+
+    A lower-case z is no offset, as in the standard parsers.
+    """
+    text = F.trim(text)
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?(?:Z|[+-]\d{2}:?\d{2})$"), F.unix_millis(F.try_to_timestamp(text)))
+
+
+def feature_time(ms: Column) -> Column:
+    """An instant as feature stores write it, with nine decimals."""
+    return F.concat(F.substring(to_iso(ms), 1, 23), F.lit("000000Z"))
+
+
+def from_feature_time(text: Column) -> Column:
+    """Milliseconds of an instant written with three decimals or more."""
+    return from_iso(F.concat(F.substring(text, 1, 23), F.lit("Z")))
 
 
 def to_iso(ms: Column) -> Column:

@@ -2,29 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegrid.functions.timeutil import HOUR, floor_to
-
-
-def as_of(left: DataFrame, history: DataFrame, key: list[str], at: Column, how: str = "left") -> DataFrame:
-    """left with the version of history valid at an instant: [valid_from, valid_to), the earliest if several."""
-    cond = [left[k] == history[k] for k in key] + [at >= history["valid_from"], history["valid_to"].isNull() | (at < history["valid_to"])]
-    return left.join(history, cond, how)
-
-
-def as_of_latest(left: DataFrame, history: DataFrame, key: str, at: str, value: str) -> DataFrame:
-    """As as_of for gapless histories of any size: one sort of both sides by (key, instant), no range join."""
-    both = left.withColumn("_o", F.lit(1)).withColumn("_v", F.lit(None)).unionByName(history.select(key, F.col("valid_from").alias(at), F.col(value).alias("_v")).withColumn("_o", F.lit(0)), allowMissingColumns=True)
-    w = Window.partitionBy(key).orderBy(at, "_o").rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn(value, F.last("_v", ignorenulls=True).over(w)).filter("_o = 1").drop("_o", "_v")
+from tidegrid.functions.scalars import derived
+from tidegrid.functions.timeutil import HOUR, floor_to, to_iso
+
+
+def as_of(left: DataFrame, history: DataFrame, key: list[str], at: str, how: str = "left") -> DataFrame:
+    """left with the version of history valid at an instant: [valid_from, valid_to), the earliest if several overlap.
+
+    One sort of both sides by key and instant, no range join. Versions that overlap form a run; a row looks at those of
+    its run that have begun, one in a history without overlaps. Without a version the columns of history are null (how
+    "inner": the row is absent); a null key has none.
+    """
+    values = [c for c in history.columns if c not in (*key, "valid_from", "valid_to")]
+    held = history.filter("valid_to IS NULL OR valid_to > valid_from").dropna(subset=key)
+    versions = held.select(*key, F.col("valid_from").alias("_at"), F.lit(0).alias("_o"), F.struct("valid_from", "valid_to", *values).alias("_v"))
+    both = left.select(*key, F.col(at).alias("_at"), F.lit(1).alias("_o"), F.struct("*").alias("_l")).unionByName(versions, allowMissingColumns=True)
+    order = ["_at", "_o", "_v"]
+    end = F.when(F.col("_v").isNotNull(), F.coalesce("_v.valid_to", F.lit("9999-12-31").cast("timestamp")))
+    reach = F.max(end).over(Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(F.col("_v").isNotNull() & F.coalesce(F.col("_at") >= reach, F.lit(True)), 1).otherwise(0)
+    runs = both.withColumn("_b", begins).withColumn("_run", F.sum("_b").over(Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
+    begun = F.collect_list("_v").over(Window.partitionBy(*key, "_run").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    rows = runs.withColumn("_c", begun).filter("_o = 1")
+    rows = rows.withColumn("_f", F.get(F.filter("_c", lambda v: v["valid_to"].isNull() | (F.col("_at") < v["valid_to"])), F.lit(0)))
+    out = rows.select("_l.*", *[F.col(f"_f.{c}").alias(c) for c in ("valid_from", "valid_to", *values)])
+    return out if how == "left" else out.filter("valid_from IS NOT NULL")
 
 
 def settle_hour(intervals: DataFrame) -> DataFrame:
-    """intervals: newest revision of each window (meter_id, interval_start_ms, energy_wh, revision, idle)."""
+    """intervals: newest revision of each window (meter_id, interval_start_ms, energy_wh, revision, idle: the partitions idle then)."""
     return intervals.groupBy("meter_id", floor_to(F.col("interval_start_ms"), HOUR).alias("hour_ms")).agg(
-        F.sum("energy_wh").alias("energy_wh"), F.count(F.lit(1)).alias("intervals"), F.max("revision").alias("revision"), F.bool_or("idle").alias("with_idle"), (F.count(F.lit(1)) == 4).alias("is_complete")
+        F.sum("energy_wh").alias("energy_wh"), F.count(F.lit(1)).alias("intervals"), F.max("revision").alias("revision"), F.bool_or(F.size("idle") > 0).alias("with_idle"), (F.count(F.lit(1)) == 4).alias("is_complete")
     )
 
 
@@ -35,10 +46,21 @@ def settle_group(hours: DataFrame, groups: DataFrame) -> DataFrame:
     return g.agg(F.sum("energy_wh").alias("energy_wh"), F.count(F.lit(1)).alias("meters"), F.array_join(lacking, ",").alias("incomplete_meters"), F.bool_or("with_idle").alias("with_idle"))
 
 
+def settle_group_chained(hours: DataFrame, assignments: DataFrame, customers: DataFrame) -> DataFrame:
+    """hours by the group of the customer who had the meter in that hour, each as of the hour's start.
+
+    assignments: meter_id, customer_id, valid_from, valid_to; customers: customer_id, group_id, valid_from, valid_to.
+    """
+    owned = as_of(hours.withColumn("_hour", F.timestamp_millis("hour_ms")), assignments, ["meter_id"], "_hour").drop("valid_from", "valid_to")
+    placed = as_of(owned, customers, ["customer_id"], "_hour").filter("group_id IS NOT NULL")
+    lacking = F.array_sort(F.collect_list(F.when(~F.col("is_complete"), F.col("meter_id"))))
+    return placed.groupBy("group_id", "hour_ms").agg(F.sum("energy_wh").alias("energy_wh"), F.count(F.lit(1)).alias("meters"), F.array_join(lacking, ",").alias("incomplete_meters"), F.bool_or("with_idle").alias("with_idle"))
+
+
 def settle_priced(intervals: DataFrame, tariffs: DataFrame) -> DataFrame:
     """Cost in whole cents by meter and hour at the tariff of each interval; unpriced intervals are absent."""
-    priced = as_of(intervals, tariffs, ["meter_id"], F.timestamp_millis(intervals["interval_start_ms"]), "inner")
-    return priced.groupBy(intervals["meter_id"], floor_to(intervals["interval_start_ms"], HOUR).alias("hour_ms")).agg(
+    priced = as_of(intervals.withColumn("_start", F.timestamp_millis("interval_start_ms")), tariffs, ["meter_id"], "_start", "inner")
+    return priced.groupBy("meter_id", floor_to(F.col("interval_start_ms"), HOUR).alias("hour_ms")).agg(
         F.sum("energy_wh").alias("energy_wh"), F.countDistinct("tariff").alias("tariffs_applied"), F.call_function("div", F.sum(F.col("energy_wh") * F.col("price")), F.lit(1000)).alias("cost_cents")
     )
 
@@ -52,6 +74,13 @@ def reconciliation(hours: DataFrame, groups: DataFrame) -> DataFrame:
     return a.crossJoin(b).crossJoin(c).withColumn("unaccounted_wh", F.expr("total_wh - grouped_wh - unattributed_wh"))
 
 
+def hour_lineage(intervals: DataFrame) -> DataFrame:
+    """The lineage of each settled hour, from that of its intervals."""
+    hour = F.expr(f"interval_start_ms div {HOUR} * {HOUR}")
+    g = intervals.groupBy("meter_id", hour.alias("hour_ms")).agg(F.collect_set("lineage_id").alias("_p"))
+    return g.select("meter_id", "hour_ms", derived("hour", F.concat_ws("|", "meter_id", to_iso(F.col("hour_ms"))), F.col("_p")).alias("lineage_id"))
+
+
 def settlement_diff(before: DataFrame, after: DataFrame) -> DataFrame:
     """Hours in both that changed; a new hour is no restatement."""
     a, b = before.select("meter_id", "hour_ms", F.col("energy_wh").alias("before_wh")), after.select("meter_id", "hour_ms", F.col("energy_wh").alias("after_wh"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegrid.functions import scalars, timeutil
-from tidegrid.operators import decisions, dedup, evaluation, features, normalise, settlement, windows
+from tidegrid.operators import decisions, dedup, erasure, evaluation, features, normalise, policies, settlement, windows
 from tidegrid.operators import timeline as ticks
 from tidegrid.sources import files, tables
 from tidegrid.sources.staging import shared_folder, staged
@@ -31,8 +31,7 @@ r AS (SELECT *, substr(sha256(meter_id || '|' || strftime(make_timestamp(interva
 reps AS (SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY meter_id, interval_start_ms, payload_hash ORDER BY ingest_ms, event_ms, firmware, source) AS rn,
          count(*) OVER (PARTITION BY meter_id, interval_start_ms, payload_hash) AS n FROM r) WHERE rn = 1),
 c AS (SELECT meter_id, interval_start_ms, arg_max(energy_wh, (ingest_ms, payload_hash)) AS energy_wh, max(ingest_ms) AS ingest_ms, CAST(sum(n) AS BIGINT) AS readings,
-      CAST(sum(n) - count(*) AS BIGINT) AS duplicates_suppressed, count(*) - 1 AS superseded FROM reps GROUP BY 1, 2),
-h AS (SELECT meter_id, interval_start_ms // 3600000 * 3600000 AS hour_ms, CAST(sum(energy_wh) AS BIGINT) AS energy_wh, count(*) AS intervals, count(*) = 4 AS is_complete FROM c GROUP BY 1, 2)
+      CAST(sum(n) - count(*) AS BIGINT) AS duplicates_suppressed, count(*) - 1 AS superseded FROM reps GROUP BY 1, 2)
 """
 
 TIMELINE = """,
@@ -41,31 +40,57 @@ ps AS (SELECT * FROM (VALUES ('SUB-01', 0), ('SUB-02', 1), ('SUB-03', 2), ('SUB-
 pm AS (SELECT ingest_ms // 1000 * 1000 AS at_ms, sub, max(event_ms) AS m, count(*) AS n FROM r GROUP BY 1, 2),
 hd AS (SELECT at_ms, sub, decl_ord, n, max(m) OVER (PARTITION BY sub ORDER BY at_ms) AS h FROM tk CROSS JOIN ps LEFT JOIN pm USING (at_ms, sub)),
 ld AS (SELECT *, max(h) OVER (PARTITION BY at_ms) AS leader FROM hd),
-tl0 AS (SELECT at_ms, any_value(leader) AS leader, CAST(coalesce(sum(n), 0) AS BIGINT) AS arrivals, min(h) FILTER (WHERE leader - h <= 3600000) - 120000 AS watermark_ms,
+tl0 AS (SELECT at_ms, any_value(leader) AS leader, CAST(coalesce(sum(n), 0) AS BIGINT) AS arrivals, min(h) FILTER (WHERE leader - h <= 3600000) - 120000 AS clock_ms,
         arg_min(sub, (h, decl_ord)) FILTER (WHERE leader - h <= 3600000) AS holding_back,
         coalesce(string_agg(sub, ',' ORDER BY decl_ord) FILTER (WHERE h IS NULL OR leader - h > 3600000), '') AS idle FROM ld GROUP BY at_ms),
-tl1 AS (SELECT *, lag(leader) OVER w AS pl, lag(watermark_ms) OVER w AS pw, row_number() OVER w = 1 AS f FROM tl0 WINDOW w AS (ORDER BY at_ms)),
+tl1 AS (SELECT *, lag(leader) OVER w AS pl, lag(clock_ms) OVER w AS pw, row_number() OVER w = 1 AS f FROM tl0 WINDOW w AS (ORDER BY at_ms)),
 tl2 AS (SELECT *, last_value(CASE WHEN f OR leader > pl THEN at_ms END IGNORE NULLS) OVER (ORDER BY at_ms) AS moved_at FROM tl1),
 tl3 AS (SELECT *, CASE WHEN at_ms - moved_at > 1800000 THEN 'stalled' WHEN idle <> '' THEN 'advancing_with_idle' ELSE 'advancing' END AS base FROM tl2),
-tl AS (SELECT at_ms, CASE WHEN base = 'advancing' AND watermark_ms <= pw AND leader > pl THEN 'held_back' ELSE base END AS status, watermark_ms, holding_back, idle,
-       leader - watermark_ms AS lag_ms, leader AS leader_ms, arrivals FROM tl3)
+tl AS (SELECT at_ms, CASE WHEN base = 'advancing' AND clock_ms <= pw AND leader > pl THEN 'held_back' ELSE base END AS status, clock_ms, holding_back, idle,
+       leader - clock_ms AS lag_ms, leader AS leader_ms, arrivals FROM tl3)
 """
 
 PUBLISHED = """,
 ks AS (SELECT meter_id, interval_start_ms, min(ingest_ms // 1000 * 1000) AS first_ms FROM r GROUP BY 1, 2),
-cl AS (SELECT meter_id, interval_start_ms, min(at_ms) AS close_ms, arg_min(watermark_ms, at_ms) AS closed_at FROM ks JOIN tl
-       ON at_ms >= first_ms AND watermark_ms >= interval_start_ms + 900000 AND status IN ('advancing', 'advancing_with_idle') GROUP BY 1, 2),
+cl AS (SELECT meter_id, interval_start_ms, min(at_ms) AS close_ms, arg_min(clock_ms, at_ms) AS closed_at FROM ks JOIN tl
+       ON at_ms >= first_ms AND clock_ms >= interval_start_ms + 900000 AND status IN ('advancing', 'advancing_with_idle') GROUP BY 1, 2),
 pr AS (SELECT *, row_number() OVER (PARTITION BY meter_id, interval_start_ms, payload_hash ORDER BY ingest_ms, event_ms, firmware, source) AS rn
        FROM r JOIN cl USING (meter_id, interval_start_ms) WHERE ingest_ms // 1000 * 1000 <= close_ms),
 pub AS (SELECT meter_id, interval_start_ms, close_ms, closed_at, arg_max(energy_wh, (ingest_ms, payload_hash)) FILTER (WHERE rn = 1) AS energy_wh, count(*) AS readings FROM pr GROUP BY ALL)
 """
 
+ISO = "strftime(make_timestamp({} * 1000), '%Y-%m-%dT%H:%M:%S.%gZ')"
+READING_ID = f"substr(sha256(concat_ws(chr(31), 'reading', meter_id, {ISO.format('interval_start_ms')}, payload_hash, {ISO.format('ingest_ms')}, source)), 1, 32)"
+#: Every step of a published window: the readings up to its closing tick, then those of each later tick within the lateness.
+LEDGER = f""",
+ad AS (SELECT r.*, greatest(ingest_ms // 1000 * 1000, close_ms) AS step_ms, close_ms, closed_at, {READING_ID} AS id FROM r JOIN cl USING (meter_id, interval_start_ms)
+       WHERE ingest_ms // 1000 * 1000 <= close_ms OR ingest_ms - (interval_start_ms + 900000) <= 345600000),
+a1 AS (SELECT *, row_number() OVER (PARTITION BY meter_id, interval_start_ms, step_ms, payload_hash ORDER BY ingest_ms, event_ms, firmware, source) AS rn FROM ad),
+sp AS (SELECT meter_id, interval_start_ms, step_ms, any_value(closed_at) AS closed_at, count(*) AS n, count(*) FILTER (rn = 1) AS k, list(payload_hash) FILTER (rn = 1) AS hs, string_agg(DISTINCT source, ', ' ORDER BY source) AS sources,
+       arg_max(payload_hash, (ingest_ms, payload_hash)) FILTER (rn = 1) AS wh, arg_max(energy_wh, (ingest_ms, payload_hash)) FILTER (rn = 1) AS energy_wh, arg_max(ingest_ms, (ingest_ms, payload_hash)) FILTER (rn = 1) AS wi FROM a1 GROUP BY 1, 2, 3),
+f0 AS (SELECT *, lag(wh) OVER w AS ph, lag(energy_wh) OVER w AS pe FROM sp WINDOW w AS (PARTITION BY meter_id, interval_start_ms ORDER BY step_ms)),
+f1 AS (SELECT *, coalesce(energy_wh <> pe, false) AS changed, CASE WHEN ph IS NULL OR wh <> ph THEN wi END AS si, k + CASE WHEN ph IS NULL OR list_contains(hs, ph) THEN 0 ELSE 1 END AS u FROM f0),
+pa AS (SELECT f1.meter_id, f1.interval_start_ms, f1.step_ms, string_agg(DISTINCT ad.id, chr(31) ORDER BY ad.id) AS ids FROM f1 JOIN ad ON ad.meter_id = f1.meter_id AND ad.interval_start_ms = f1.interval_start_ms AND ad.step_ms <= f1.step_ms GROUP BY 1, 2, 3),
+f2 AS (SELECT meter_id, interval_start_ms, step_ms AS at_ms, closed_at, CASE WHEN ph IS NULL THEN 'published' WHEN changed THEN 'restated' ELSE 'confirmed' END AS kind, energy_wh,
+       CAST(sum(CAST(changed AS INTEGER)) OVER w AS INTEGER) AS revision, CASE WHEN changed THEN pe END AS supersedes, CASE WHEN changed THEN energy_wh - pe ELSE 0 END AS delta_wh, n, sources,
+       CAST(sum(n) OVER w AS BIGINT) AS readings, CAST(sum(CASE WHEN ph IS NULL THEN n - k ELSE least(n, n + 1 - u) END) OVER w AS BIGINT) AS duplicates_suppressed,
+       CAST(sum(CASE WHEN ph IS NULL THEN k - 1 ELSE u - 1 END) OVER w AS BIGINT) AS corrections_absorbed, last_value(si IGNORE NULLS) OVER w AS first_seen_ms, ids
+       FROM f1 JOIN pa USING (meter_id, interval_start_ms, step_ms) WINDOW w AS (PARTITION BY meter_id, interval_start_ms ORDER BY step_ms)),
+lg AS (SELECT f2.* EXCLUDE (n, sources, ids), status, idle, CASE WHEN kind = 'restated' THEN n || ' reading(s) arrived from ' || sources || ' after revision ' || (revision - 1) || ' was published' END AS cause,
+       substr(sha256(concat_ws(chr(31), 'window', meter_id || '|' || {ISO.format('interval_start_ms')} || '|r' || revision, ids)), 1, 32) AS lineage_id FROM f2 JOIN tl USING (at_ms)),
+nw AS (SELECT * FROM lg WHERE kind <> 'confirmed' QUALIFY row_number() OVER (PARTITION BY meter_id, interval_start_ms ORDER BY revision DESC) = 1),
+h AS (SELECT meter_id, interval_start_ms // 3600000 * 3600000 AS hour_ms, CAST(sum(energy_wh) AS BIGINT) AS energy_wh, count(*) AS intervals, max(revision) AS revision, bool_or(idle <> '') AS with_idle, count(*) = 4 AS is_complete FROM nw GROUP BY 1, 2)
+"""
+
 TARIFFS = """,
 od AS (SELECT o_custkey, CAST(o_orderdate AS TIMESTAMP) AS valid_from, max(o_orderkey) AS tariff FROM orders GROUP BY 1, 2),
 tf AS (SELECT *, lead(valid_from) OVER (PARTITION BY o_custkey ORDER BY valid_from) AS valid_to, tariff % 30 + 10 AS price FROM od)
 """
 
 
+DAY_SQL = BASE + TIMELINE + PUBLISHED + LEDGER
+
+
 def query(sql: str | None = None):
     def add(f):
         QUERIES[f.__name__] = f
@@ -85,14 +110,19 @@ def observed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return r, ticks.timeline(r, tables.partitions(spark))
 
 
-def closed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Readings, and the closing tick of every window that is published."""
+def closed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Readings, the closing tick of every window that is published, and the timeline."""
     r, t = observed(spark, d)
-    return r, staged(windows.close_ticks(r, staged(t)))
+    return r, windows.close_ticks(r, t), t
+
+
+def ledger(spark: SparkSession, d: str) -> DataFrame:
+    return windows.ledger(*closed(spark, d))
 
 
 def intervals(spark: SparkSession, d: str) -> DataFrame:
-    return dedup.collapsed(readings(spark, d)).withColumns({"revision": F.size("superseded"), "idle": F.col("duplicates_suppressed") > 0})
+    """What the ledger last stated of each published window."""
+    return windows.newest(ledger(spark, d))
 
 
 def hours(spark: SparkSession, d: str) -> DataFrame:
@@ -104,9 +134,9 @@ def groups(spark: SparkSession, d: str) -> DataFrame:
     return tables.events(spark, d).select("meter_id", "user_id").distinct().filter("user_id % 3 <> 0").select("meter_id", F.concat(F.lit("G"), (F.col("user_id") % 7).cast("string")).alias("group_id"))
 
 
-@query(BASE + "SELECT meter_id, hour_ms, energy_wh, intervals, is_complete FROM h")
+@query(DAY_SQL + "SELECT * FROM h")
 def settle_hour(spark, d):
-    return hours(spark, d).select("meter_id", "hour_ms", "energy_wh", "intervals", "is_complete")
+    return hours(spark, d)
 
 
 @query(BASE + "SELECT count(*) AS n, CAST(sum(energy_wh) AS BIGINT) AS energy_wh, min(event_ms) AS first_ms, max(event_ms) AS last_ms, firmware FROM r GROUP BY firmware")
@@ -128,7 +158,7 @@ def lineage_reading(spark, d):
 @query(
     BASE
     + """, lr AS (SELECT meter_id, interval_start_ms, substr(sha256(concat_ws(chr(31), 'reading', meter_id, strftime(make_timestamp(interval_start_ms * 1000), '%Y-%m-%dT%H:%M:%S.%gZ'), payload_hash, strftime(make_timestamp(ingest_ms * 1000), '%Y-%m-%dT%H:%M:%S.%gZ'), source)), 1, 32) AS id FROM r)
-SELECT meter_id, interval_start_ms, substr(sha256(concat_ws(chr(31), 'result', meter_id || '|' || strftime(make_timestamp(interval_start_ms * 1000), '%Y-%m-%dT%H:%M:%S.%gZ') || '|r0', string_agg(DISTINCT id, chr(31) ORDER BY id))), 1, 32) AS lineage_id FROM lr GROUP BY meter_id, interval_start_ms"""
+SELECT meter_id, interval_start_ms, substr(sha256(concat_ws(chr(31), 'window', meter_id || '|' || strftime(make_timestamp(interval_start_ms * 1000), '%Y-%m-%dT%H:%M:%S.%gZ') || '|r0', string_agg(DISTINCT id, chr(31) ORDER BY id))), 1, 32) AS lineage_id FROM lr GROUP BY meter_id, interval_start_ms"""
 )
 def lineage_result(spark, d):
     r = readings(spark, d)
@@ -143,50 +173,82 @@ def dedup_collapse(spark, d):
 
 
 @query(BASE + TIMELINE + "SELECT * FROM tl")
-def watermark_timeline(spark, d):
+def clock_timeline(spark, d):
     return observed(spark, d)[1].withColumn("idle", F.array_join("idle", ","))
 
 
 @query(BASE + TIMELINE + "SELECT status, count(*) AS n FROM (SELECT *, lag(status) OVER w AS s, lag(holding_back) OVER w AS b, row_number() OVER w AS k FROM tl WINDOW w AS (ORDER BY at_ms)) WHERE k = 1 OR status IS DISTINCT FROM s OR holding_back IS DISTINCT FROM b GROUP BY status")
-def watermark_transitions(spark, d):
+def clock_transitions(spark, d):
     return ticks.transitions(observed(spark, d)[1]).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(BASE + TIMELINE + PUBLISHED + "SELECT * FROM pub")
 def windows_published(spark, d):
-    return windows.published(*closed(spark, d)).select("meter_id", "interval_start_ms", "close_ms", "closed_at", "energy_wh", "readings")
+    return windows.published(*closed(spark, d)[:2]).select("meter_id", "interval_start_ms", "close_ms", "closed_at", "energy_wh", "readings")
 
 
 @query(BASE + TIMELINE + PUBLISHED + "SELECT source, ingest_ms - (interval_start_ms + 900000) > 345600000 AS too_late, count(*) AS n FROM r JOIN cl USING (meter_id, interval_start_ms) WHERE ingest_ms // 1000 * 1000 > close_ms GROUP BY ALL")
 def too_late_for_window(spark, d):
-    return windows.late(*closed(spark, d)).groupBy("source", "too_late").agg(F.count(F.lit(1)).alias("n"))
-
-
-#: Late readings of a window come one to a tick here, so folding them is a walk over their order.
-RESTATED = """,
-la AS (SELECT meter_id, interval_start_ms, ingest_ms // 1000 * 1000 AS at_ms, ingest_ms, payload_hash, energy_wh, source, row_number() OVER (PARTITION BY meter_id, interval_start_ms, ingest_ms // 1000 * 1000, payload_hash ORDER BY ingest_ms, event_ms, firmware, source) AS rn
-       FROM r JOIN cl USING (meter_id, interval_start_ms) WHERE ingest_ms // 1000 * 1000 > close_ms AND ingest_ms - (interval_start_ms + 900000) <= 345600000),
-st AS (SELECT meter_id, interval_start_ms, at_ms, arg_max(energy_wh, (ingest_ms, payload_hash)) AS energy_wh, 1 AS late FROM la WHERE rn = 1 GROUP BY 1, 2, 3
-       UNION ALL SELECT meter_id, interval_start_ms, close_ms, energy_wh, 0 FROM pub),
-fo AS (SELECT *, lag(energy_wh) OVER (PARTITION BY meter_id, interval_start_ms ORDER BY at_ms) AS before FROM st),
-out AS (SELECT meter_id, interval_start_ms, at_ms, CASE WHEN energy_wh <> before THEN 'restated' ELSE 'confirmed' END AS kind, energy_wh,
-        CAST(sum(CASE WHEN energy_wh <> before THEN 1 ELSE 0 END) OVER (PARTITION BY meter_id, interval_start_ms ORDER BY at_ms) AS INTEGER) AS revision, energy_wh - before AS delta_wh, late FROM fo)
-"""
+    return windows.late(*closed(spark, d)[:2]).groupBy("source", "too_late").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(BASE + TIMELINE + PUBLISHED + RESTATED + "SELECT meter_id, interval_start_ms, at_ms, kind, energy_wh, revision, delta_wh FROM out WHERE late = 1")
+@query(DAY_SQL + "SELECT meter_id, interval_start_ms, at_ms, kind, energy_wh, revision, delta_wh, cause FROM lg WHERE kind <> 'published'")
 def windows_restated(spark, d):
-    return windows.restated(*closed(spark, d)).select("meter_id", "interval_start_ms", "at_ms", "kind", "energy_wh", "revision", "delta_wh")
+    return windows.restated(*closed(spark, d)).select("meter_id", "interval_start_ms", "at_ms", "kind", "energy_wh", "revision", "delta_wh", "cause")
 
 
-@query(BASE + TIMELINE + PUBLISHED + RESTATED + "SELECT meter_id, interval_start_ms, arg_max(energy_wh, (at_ms)) AS energy_wh, max(revision) AS revision FROM (SELECT meter_id, interval_start_ms, at_ms, energy_wh, revision FROM out) GROUP BY 1, 2")
+@query(DAY_SQL + "SELECT meter_id, interval_start_ms, closed_at, kind, energy_wh, revision, idle, lineage_id FROM nw")
 def ledger_newest(spark, d):
-    return windows.newest(windows.ledger(*closed(spark, d))).select("meter_id", "interval_start_ms", "energy_wh", "revision")
+    return intervals(spark, d).withColumn("idle", F.array_join("idle", ","))
 
 
-@query(BASE + TIMELINE + PUBLISHED + RESTATED + "SELECT CASE WHEN late = 0 THEN 'published' ELSE kind END AS kind, count(*) AS n, CAST(coalesce(sum(delta_wh), 0) AS BIGINT) AS net_wh FROM out GROUP BY 1")
+@query(DAY_SQL + "SELECT kind, count(*) AS n, CAST(sum(delta_wh) AS BIGINT) AS net_wh FROM lg GROUP BY 1")
 def restatement_totals(spark, d):
-    return windows.ledger(*closed(spark, d)).groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum("delta_wh").alias("net_wh"))
+    return ledger(spark, d).groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum("delta_wh").alias("net_wh"))
+
+
+@query(DAY_SQL + """SELECT kind, meter_id AS meter, interval_start_ms AS interval_start, CAST(energy_wh AS VARCHAR) AS energy_wh, readings, duplicates_suppressed, corrections_absorbed, closed_at, first_seen_ms AS first_seen_at, revision,
+supersedes, cause AS restatement_cause, status AS clock_status, idle AS idle_partitions, lineage_id, status AS observed_status FROM lg""")
+def evidence_lines(spark, d):
+    r, closes, t = closed(spark, d)
+    return windows.outcome_lines(windows.ledger(r, closes, t), t).withColumn("idle_partitions", F.array_join("idle_partitions", ","))
+
+
+@query(DAY_SQL + """SELECT n.meter_id, n.interval_start_ms, n.revision, n.supersedes AS previous_energy_wh, n.energy_wh AS new_energy_wh, n.delta_wh, n.cause, n.closed_at, n.lineage_id, o.lineage_id AS supersedes_lineage_id
+FROM lg n JOIN lg o ON n.meter_id = o.meter_id AND n.interval_start_ms = o.interval_start_ms AND o.revision = n.revision - 1 AND o.kind <> 'confirmed' WHERE n.kind = 'restated'""")
+def restatement_records(spark, d):
+    return windows.restatement_records(ledger(spark, d))
+
+
+@query(DAY_SQL + "SELECT meter_id, interval_start_ms, revision, arg_max(lineage_id, at_ms) AS lineage_id FROM lg GROUP BY 1, 2, 3")
+def lineage_revisions(spark, d):
+    return windows.lineage_of_revisions(ledger(spark, d))
+
+
+@query(DAY_SQL + "SELECT revision, count(*) AS n FROM nw GROUP BY 1")
+def revisions_histogram(spark, d):
+    return intervals(spark, d).groupBy("revision").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(BASE + TIMELINE + PUBLISHED + "SELECT meter_id, interval_start_ms FROM r WHERE (meter_id, interval_start_ms) NOT IN (SELECT (meter_id, interval_start_ms) FROM cl) GROUP BY 1, 2")
+def windows_open(spark, d):
+    return windows.open_windows(*closed(spark, d)[:2])
+
+
+@query(BASE + TIMELINE + """SELECT 'clock' AS kind, status, holding_back, idle AS idle_partitions, lag_ms AS lag_millis, clock_ms AS clock, status IN ('advancing', 'advancing_with_idle') AS may_close_windows, at_ms AS at
+FROM (SELECT *, lag(status) OVER w AS s, lag(holding_back) OVER w AS b, row_number() OVER w AS k FROM tl WINDOW w AS (ORDER BY at_ms)) WHERE k = 1 OR status IS DISTINCT FROM s OR holding_back IS DISTINCT FROM b""")
+def condition_lines(spark, d):
+    return ticks.condition_lines(observed(spark, d)[1]).withColumn("idle_partitions", F.array_join("idle_partitions", ","))
+
+
+@query(BASE + TIMELINE + "SELECT status, clock_ms, holding_back FROM tl ORDER BY at_ms DESC LIMIT 1")
+def clock_condition(spark, d):
+    return ticks.condition(observed(spark, d)[1])
+
+
+@query(DAY_SQL + f"SELECT meter_id, hour_ms, substr(sha256(concat_ws(chr(31), 'hour', meter_id || '|' || {ISO.format('hour_ms')}, string_agg(lineage_id, chr(31) ORDER BY lineage_id))), 1, 32) AS lineage_id FROM (SELECT *, interval_start_ms // 3600000 * 3600000 AS hour_ms FROM nw) GROUP BY 1, 2")
+def lineage_hour(spark, d):
+    return settlement.hour_lineage(intervals(spark, d))
 
 
 @query(
@@ -204,22 +266,54 @@ def merge_newest_revision(spark, d):
 GROUPS = ", g AS (SELECT DISTINCT meter_id, 'G' || CAST(user_id % 7 AS VARCHAR) AS group_id FROM e WHERE user_id % 3 <> 0) "
 
 
-@query(BASE + GROUPS + "SELECT group_id, hour_ms, CAST(sum(energy_wh) AS BIGINT) AS energy_wh, count(*) AS meters, coalesce(string_agg(meter_id, ',' ORDER BY meter_id) FILTER (WHERE NOT is_complete), '') AS incomplete_meters FROM h JOIN g USING (meter_id) GROUP BY 1, 2")
+@query(DAY_SQL + GROUPS + "SELECT group_id, hour_ms, CAST(sum(energy_wh) AS BIGINT) AS energy_wh, count(*) AS meters, coalesce(string_agg(meter_id, ',' ORDER BY meter_id) FILTER (WHERE NOT is_complete), '') AS incomplete_meters, bool_or(with_idle) AS with_idle FROM h JOIN g USING (meter_id) GROUP BY 1, 2")
 def settle_group(spark, d):
-    return settlement.settle_group(hours(spark, d), groups(spark, d)).drop("with_idle")
+    return settlement.settle_group(hours(spark, d), groups(spark, d))
+
+
+#: Who has a meter changes once for each; every eleventh meter has nobody after that. Some customers change their group, every third has none.
+OWNERS = """,
+us AS (SELECT DISTINCT user_id, meter_id FROM e),
+asg AS (SELECT meter_id, 'C' || user_id AS customer_id, 1704067200000 AS f, 1705017600000 + user_id % 7 * 86400000 AS t FROM us
+        UNION ALL SELECT meter_id, 'C' || (user_id + 1), 1705017600000 + user_id % 7 * 86400000, NULL FROM us WHERE user_id % 11 <> 0),
+cus AS (SELECT 'C' || k AS customer_id, 'G' || (k % 7) AS group_id, 1704067200000 AS f, CASE WHEN k % 5 = 0 THEN 1705708800000 END AS t FROM (SELECT DISTINCT user_id AS k FROM us UNION SELECT user_id + 1 FROM us) WHERE k % 3 <> 0
+        UNION ALL SELECT 'C' || k, 'G' || (k % 7 + 1), 1705708800000, NULL FROM (SELECT DISTINCT user_id AS k FROM us UNION SELECT user_id + 1 FROM us) WHERE k % 3 <> 0 AND k % 5 = 0)
+"""
+
+
+def owners(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """assignments and customers, with the rules that OWNERS states."""
+    u = tables.events(spark, d).select("user_id", "meter_id").distinct()
+    change = F.lit(1_705_017_600_000) + F.col("user_id") % 7 * 86_400_000
+    timed = lambda df, key: df.select(*key, F.timestamp_millis("f").alias("valid_from"), F.timestamp_millis("t").alias("valid_to"))
+    name = lambda k: F.concat(F.lit("C"), k.cast("string"))
+    first = u.select("meter_id", name(F.col("user_id")).alias("customer_id"), F.lit(1_704_067_200_000).alias("f"), change.alias("t"))
+    second = u.filter("user_id % 11 <> 0").select("meter_id", name(F.col("user_id") + 1).alias("customer_id"), change.alias("f"), F.lit(None).cast("long").alias("t"))
+    k = u.select(F.col("user_id").alias("k")).union(u.select(F.col("user_id") + 1)).distinct().filter("k % 3 <> 0")
+    group = lambda more: F.concat(F.lit("G"), (F.col("k") % 7 + more).cast("string")).alias("group_id")
+    move = F.lit(1_705_708_800_000)
+    was = k.select(name(F.col("k")).alias("customer_id"), group(0), F.lit(1_704_067_200_000).alias("f"), F.when(F.col("k") % 5 == 0, move).alias("t"))
+    then = k.filter("k % 5 = 0").select(name(F.col("k")).alias("customer_id"), group(1), move.alias("f"), F.lit(None).cast("long").alias("t"))
+    return timed(first.unionByName(second), ["meter_id", "customer_id"]), timed(was.unionByName(then), ["customer_id", "group_id"])
 
 
-@query(BASE + GROUPS + "SELECT CAST(sum(energy_wh) AS BIGINT) AS total_wh, CAST(sum(energy_wh) FILTER (WHERE meter_id IN (SELECT meter_id FROM g)) AS BIGINT) AS grouped_wh, CAST(sum(energy_wh) FILTER (WHERE meter_id NOT IN (SELECT meter_id FROM g)) AS BIGINT) AS unattributed_wh, CAST(0 AS BIGINT) AS unaccounted_wh FROM h")
+@query(DAY_SQL + OWNERS + """SELECT group_id, hour_ms, CAST(sum(energy_wh) AS BIGINT) AS energy_wh, count(*) AS meters, coalesce(string_agg(h.meter_id, ',' ORDER BY h.meter_id) FILTER (WHERE NOT is_complete), '') AS incomplete_meters, bool_or(with_idle) AS with_idle
+FROM h JOIN asg ON asg.meter_id = h.meter_id AND hour_ms >= asg.f AND (asg.t IS NULL OR hour_ms < asg.t) JOIN cus ON cus.customer_id = asg.customer_id AND hour_ms >= cus.f AND (cus.t IS NULL OR hour_ms < cus.t) GROUP BY 1, 2""")
+def settle_group_chained(spark, d):
+    return settlement.settle_group_chained(hours(spark, d), *owners(spark, d))
+
+
+@query(DAY_SQL + GROUPS + "SELECT CAST(sum(energy_wh) AS BIGINT) AS total_wh, CAST(sum(energy_wh) FILTER (WHERE meter_id IN (SELECT meter_id FROM g)) AS BIGINT) AS grouped_wh, CAST(sum(energy_wh) FILTER (WHERE meter_id NOT IN (SELECT meter_id FROM g)) AS BIGINT) AS unattributed_wh, CAST(0 AS BIGINT) AS unaccounted_wh FROM h")
 def reconciliation(spark, d):
     return settlement.reconciliation(hours(spark, d), groups(spark, d))
 
 
-@query(BASE + GROUPS + "SELECT DISTINCT meter_id FROM h WHERE meter_id NOT IN (SELECT meter_id FROM g)")
+@query(DAY_SQL + GROUPS + "SELECT DISTINCT meter_id FROM h WHERE meter_id NOT IN (SELECT meter_id FROM g)")
 def unattributed_meters(spark, d):
     return hours(spark, d).select("meter_id").distinct().join(groups(spark, d), "meter_id", "left_anti")
 
 
-@query(BASE + TARIFFS + ", t2 AS (SELECT 'M' || lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS meter_id, valid_from, valid_to, tariff, price FROM tf) SELECT c.meter_id, interval_start_ms // 3600000 * 3600000 AS hour_ms, CAST(sum(energy_wh) AS BIGINT) AS energy_wh, count(DISTINCT tariff) AS tariffs_applied, CAST(sum(energy_wh * price) // 1000 AS BIGINT) AS cost_cents FROM c JOIN t2 ON c.meter_id = t2.meter_id AND make_timestamp(interval_start_ms * 1000) >= valid_from AND (valid_to IS NULL OR make_timestamp(interval_start_ms * 1000) < valid_to) GROUP BY 1, 2")
+@query(DAY_SQL + TARIFFS + ", t2 AS (SELECT 'M' || lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS meter_id, valid_from, valid_to, tariff, price FROM tf) SELECT nw.meter_id, interval_start_ms // 3600000 * 3600000 AS hour_ms, CAST(sum(energy_wh) AS BIGINT) AS energy_wh, count(DISTINCT tariff) AS tariffs_applied, CAST(sum(energy_wh * price) // 1000 AS BIGINT) AS cost_cents FROM nw JOIN t2 ON nw.meter_id = t2.meter_id AND make_timestamp(interval_start_ms * 1000) >= valid_from AND (valid_to IS NULL OR make_timestamp(interval_start_ms * 1000) < valid_to) GROUP BY 1, 2")
 def settle_priced(spark, d):
     t = tables.tariffs(spark, d).withColumn("meter_id", F.concat(F.lit("M"), F.lpad(F.col("o_custkey").cast("string"), 5, "0"))).drop("o_custkey")
     i = intervals(spark, d)
@@ -233,17 +327,23 @@ def asof_join(spark, d):
     return settlement.as_of_latest(both, tables.tariffs(spark, d), "o_custkey", "at", "tariff").select("l_orderkey", "l_linenumber", "tariff")
 
 
-@query("""WITH v AS (SELECT o_custkey, CAST(o_orderdate AS TIMESTAMP) AS valid_from, CAST(o_orderdate AS TIMESTAMP) + INTERVAL 30 DAY AS valid_to FROM orders),
-n AS (SELECT *, lead(valid_from) OVER (PARTITION BY o_custkey ORDER BY valid_from) AS nx FROM v) SELECT o_custkey, valid_from, 'overlapping' AS problem FROM n WHERE nx < valid_to""")
+@query("""WITH o AS (SELECT o_custkey, CAST(o_orderdate AS TIMESTAMP) AS valid_from, max(o_orderkey) AS k FROM orders GROUP BY 1, 2),
+v AS (SELECT o_custkey, valid_from, CASE WHEN k % 13 = 0 THEN NULL WHEN k % 17 = 0 THEN valid_from - INTERVAL 1 DAY ELSE valid_from + INTERVAL 30 DAY END AS valid_to FROM o),
+n AS (SELECT *, lead(valid_from) OVER (PARTITION BY o_custkey ORDER BY valid_from) AS nx, count(*) FILTER (WHERE valid_to IS NULL) OVER (PARTITION BY o_custkey) AS op FROM v)
+SELECT o_custkey, valid_from, 'overlapping' AS problem FROM n WHERE nx IS NOT NULL AND (valid_to IS NULL OR nx < valid_to) UNION ALL SELECT o_custkey, valid_from, 'backwards' FROM n WHERE valid_to <= valid_from
+UNION ALL SELECT o_custkey, valid_from, 'multiple_open' FROM n WHERE valid_to IS NULL AND op > 1""")
 def scd2_problems(spark, d):
-    o = tables.table(spark, d, "orders").select("o_custkey", F.col("o_orderdate").cast("timestamp").alias("valid_from"))
-    return settlement.history_problems(o.withColumn("valid_to", F.expr("valid_from + interval 30 days")), "o_custkey")
+    o = tables.table(spark, d, "orders").groupBy("o_custkey", F.col("o_orderdate").cast("timestamp").alias("valid_from")).agg(F.max("o_orderkey").alias("k"))
+    end = F.when(F.col("k") % 13 == 0, None).when(F.col("k") % 17 == 0, F.expr("valid_from - interval 1 day")).otherwise(F.expr("valid_from + interval 30 days"))
+    return settlement.history_problems(o.withColumn("valid_to", end).drop("k"), "o_custkey")
 
 
-@query(BASE + ", b AS (SELECT meter_id, interval_start_ms // 3600000 * 3600000 AS hour_ms, CAST(sum(w) AS BIGINT) AS before_wh FROM (SELECT meter_id, interval_start_ms, arg_max(energy_wh, (ingest_ms, payload_hash)) AS w FROM reps WHERE source = 'stream' GROUP BY 1, 2) GROUP BY 1, 2) SELECT meter_id, hour_ms, before_wh, energy_wh AS after_wh, energy_wh - before_wh AS delta_wh FROM h JOIN b USING (meter_id, hour_ms) WHERE energy_wh <> before_wh")
+@query(DAY_SQL + """, b AS (SELECT meter_id, interval_start_ms // 3600000 * 3600000 AS hour_ms, CAST(sum(energy_wh) AS BIGINT) AS before_wh FROM lg WHERE kind = 'published' GROUP BY 1, 2)
+SELECT meter_id, hour_ms, before_wh, energy_wh AS after_wh, energy_wh - before_wh AS delta_wh FROM h JOIN b USING (meter_id, hour_ms) WHERE energy_wh <> before_wh""")
 def settlement_diff(spark, d):
-    before = dedup.collapsed(readings(spark, d).filter("source = 'stream'")).withColumns({"revision": F.lit(0), "idle": F.lit(False)})
-    return settlement.settlement_diff(settlement.settle_hour(before), hours(spark, d))
+    """Hours as first published against hours as last stated."""
+    rows = staged(ledger(spark, d))
+    return settlement.settlement_diff(settlement.settle_hour(rows.filter("kind = 'published'")), settlement.settle_hour(windows.newest(rows)))
 
 
 AT, SEEN, HOUR_MS = 1_705_276_800_000, 1_705_300_000_000, 43_200
@@ -271,19 +371,39 @@ def feature_online(spark, d):
     return features.latest_served(features.FeatureContract("energy_1h", "sum", 3600, 900, 900), feature_rows(spark, d))
 
 
-@query("SELECT 'value' AS kind, CAST(0 AS BIGINT) AS n WHERE false")
+INSTANTS, LAG = [AT + k * 21_600_000 for k in range(8)], 3_600_000
+#: What is served is spoilt for some entities, so that each kind of difference comes: one not served, one served that isn't there, one a watt hour more.
+PARITY_SQL = BASE + f""", ts AS (SELECT unnest({INSTANTS}) AS at_ms),
+off_ AS (SELECT meter_id AS entity_id, at_ms, CAST(sum(energy_wh) AS BIGINT) AS value FROM r JOIN ts ON event_ms > at_ms - {HOUR_MS * 1000} AND event_ms <= at_ms AND ingest_ms <= at_ms + {LAG} GROUP BY 1, 2),
+onl AS (SELECT entity_id, at_ms, CASE WHEN right(entity_id, 1) = '3' THEN value + 1 ELSE value END AS value FROM off_ WHERE right(entity_id, 1) <> '1'),
+of2 AS (SELECT * FROM off_ WHERE right(entity_id, 1) <> '2')
+"""
+
+
+@query(PARITY_SQL + """SELECT entity_id, at_ms, onl.value AS online, of2.value AS offline, CASE WHEN onl.value IS NULL THEN 'online_missing' WHEN of2.value IS NULL THEN 'offline_missing' ELSE 'value' END AS kind
+FROM onl FULL JOIN of2 USING (entity_id, at_ms) WHERE onl.value IS DISTINCT FROM of2.value""")
 def feature_parity(spark, d):
-    """The served value of each entity against the same feature resolved as of its last event: nothing differs."""
-    c, rows = features.FeatureContract("energy_1h", "sum", 3600, 900, 900), feature_rows(spark, d)
-    online = features.latest_served(c, rows)
-    last = rows.groupBy("entity_id").agg(F.max("event_ms").alias("t"))
-    inside = rows.join(last, "entity_id").filter("event_ms > t - 3600000 AND event_ms <= t")
-    offline = inside.groupBy("entity_id").agg(F.sum("value").alias("value"))
-    return features.parity(online, offline, ["entity_id"]).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+    """What is served at eight instants against the same resolved afterwards, with differences put in on purpose."""
+    c, rows = features.FeatureContract("energy_12h", "sum", HOUR_MS, 900, 900), feature_rows(spark, d)
+    online, last = features.served_at(c, rows, INSTANTS, LAG), F.right("entity_id", F.lit(1))
+    online = online.filter(last != "1").withColumn("value", F.col("value") + (last == "3").cast("long"))
+    return features.parity(online, features.resolved_at(c, rows, INSTANTS, LAG).filter(last != "2"), ["entity_id", "at_ms"])
+
+
+@query(PARITY_SQL + "SELECT entity_id, at_ms, value FROM off_")
+def feature_served_at(spark, d):
+    """What is served at each instant, unspoilt: the SQL says the same by the other way."""
+    return features.served_at(features.FeatureContract("energy_12h", "sum", HOUR_MS, 900, 900), feature_rows(spark, d), INSTANTS, LAG)
+
+
+@query(BASE + f"SELECT meter_id AS entity_id, CAST((2 * sum(energy_wh) + count(*)) // (2 * count(*)) AS BIGINT) AS value FROM r WHERE meter_id = 'M00003' AND event_ms > {AT - 30 * 86_400_000} AND event_ms <= {AT} AND ingest_ms <= {SEEN} GROUP BY 1")
+def feature_as_of_sql(spark, d):
+    c = features.FeatureContract("energy_mean", "mean", 30 * 86_400, 900, 900)
+    return spark.sql(features.as_of_sql(c, "{rows}"), {"entity": "M00003", "at_ms": AT, "seen_ms": SEEN}, rows=feature_rows(spark, d))
 
 
 @query(BASE + f""", f AS (SELECT meter_id, max(event_ms) AS event_ms, arg_max(energy_wh, (event_ms, ingest_ms, energy_wh)) AS v FROM r WHERE ingest_ms <= {SEEN} GROUP BY 1),
-q AS (SELECT meter_id, v, CASE WHEN right(meter_id, 1) = '1' THEN 'watermark_stalled' WHEN right(meter_id, 1) = '2' THEN 'window_not_closed' WHEN {SEEN} - event_ms > 86400000 THEN 'feature_stale' END AS unavailable FROM f)
+q AS (SELECT meter_id, v, CASE WHEN right(meter_id, 1) = '1' THEN 'clock_stalled' WHEN right(meter_id, 1) = '2' THEN 'window_not_closed' WHEN {SEEN} - event_ms > 86400000 THEN 'feature_stale' END AS unavailable FROM f)
 SELECT substr(sha256('decision|inspect|' || meter_id || '|{SEEN}'), 1, 32) AS decision_id, meter_id AS entity_id, CASE WHEN unavailable IS NULL THEN CASE WHEN v >= 500 THEN 'flag' ELSE 'pass' END WHEN right(meter_id, 1) = '2' THEN 'none' ELSE 'hold' END AS action,
 CASE WHEN unavailable IS NULL THEN 'model' WHEN right(meter_id, 1) = '2' THEN 'withheld' ELSE 'fallback' END AS origin, unavailable FROM q""")
 def decide(spark, d):
@@ -291,7 +411,7 @@ def decide(spark, d):
     latest = rows.groupBy("entity_id").agg(F.max("event_ms").alias("event_ms"), F.max_by("value", F.struct("event_ms", "ingest_ms", "value")).alias("value"))
     last = F.right("entity_id", F.lit(1))
     status = F.when(last == "1", "stalled").when(last == "2", "held_back").otherwise("advancing")
-    e = latest.withColumns({"at_ms": F.lit(SEEN), "watermark_status": status})
+    e = latest.withColumns({"at_ms": F.lit(SEEN), "clock_status": status})
     return decisions.decided(e, "inspect", F.col("value"), 500, F.when(last != "2", "hold"), 86_400_000).drop("at_ms")
 
 
@@ -306,7 +426,7 @@ def curtail(spark, d):
 def policy_reachable(spark, d):
     grants = spark.createDataFrame([("ops", {"kind": ["energy"], "sub": ["SUB-01", "SUB-02"]}), ("audit", {"kind": ["energy", "labels"], "sub": ["SUB-03"]})], "principal string, allowed map<string, array<string>>")
     e = tables.events(spark, d).select(F.col("meter_id").alias("resource"), "partition").distinct()
-    return decisions.reachable(grants, e.select("resource", F.create_map(F.lit("kind"), F.lit("energy"), F.lit("sub"), F.col("partition")).alias("tags")))
+    return policies.reachable(grants, e.select("resource", F.create_map(F.lit("kind"), F.lit("energy"), F.lit("sub"), F.col("partition")).alias("tags")))
 
 
 @query(BASE + "SELECT event_id, ingest_ms FROM r WHERE NOT (meter_id = 'M00007' AND event_ms >= 1704672000000 AND event_ms < 1705276800000)")
@@ -314,7 +434,7 @@ def erasure_delete(spark, d):
     r = readings(spark, d).withColumn("at", F.timestamp_millis("event_ms"))
     own = spark.createDataFrame([("M00007", "C00007", 1_704_672_000_000, 1_705_276_800_000), ("M00008", "C00008", 1_704_672_000_000, None)], "meter_id string, customer_id string, f long, t long")
     own = own.select("meter_id", "customer_id", F.timestamp_millis("f").alias("valid_from"), F.timestamp_millis("t").alias("valid_to"))
-    return decisions.erased(r, own, "C00007").select("event_id", "ingest_ms")
+    return erasure.erased(r, own, "C00007").select("event_id", "ingest_ms")
 
 
 POPULATION = "p AS (SELECT doc_id % 10 AS decile, n_chars % 1000 AS score, quality AS truly, n_chars % 1000 >= 400 AS flagged FROM documents JOIN labels USING (doc_id))"
@@ -355,18 +475,51 @@ def dataset_digest(spark, d):
     return evaluation.digest(tables.table(spark, d, "labels"), [], F.concat_ws("|", "doc_id", "quality", "toxic"))
 
 
-@query(BASE + TIMELINE + PUBLISHED + RESTATED + "SELECT * FROM (VALUES ('closed_complete'), ('closed_window'), ('energy_not_negative'), ('key_unique'), ('meter_complete'), ('supersedes_where_cause')) t(rule) CROSS JOIN (SELECT count(*) - count(*) AS violations FROM out)")
+#: Rows of the ledger spoilt on purpose: by which interval they are of, so that each rule is broken by some.
+SPOIL = {"energy_wh": (50, "-1"), "closed_at": (60, "interval_start_ms"), "meter_id": (70, "NULL"), "lineage_id": (110, "NULL"), "supersedes": (40, "NULL")}
+SPOILT_SQL = ", ".join(f"CASE WHEN interval_start_ms // 900000 % {k} = 0 THEN {v} ELSE {c} END AS {c}" for c, (k, v) in SPOIL.items())
+
+
+def spoilt(rows: DataFrame) -> DataFrame:
+    out = rows.withColumns({c: F.expr(f"CASE WHEN interval_start_ms div 900000 % {k} = 0 THEN {v} ELSE {c} END") for c, (k, v) in SPOIL.items()})
+    out = out.withColumn("closed_at", F.expr("CASE WHEN interval_start_ms div 900000 % 80 = 0 THEN NULL ELSE closed_at END"))
+    return out.unionByName(out.filter("interval_start_ms div 900000 % 90 = 0"))
+
+
+@query(DAY_SQL + f""", s0 AS (SELECT interval_start_ms, kind, revision, cause, {SPOILT_SQL} FROM lg), s1 AS (SELECT * REPLACE (CASE WHEN interval_start_ms // 900000 % 80 = 0 THEN NULL ELSE closed_at END AS closed_at) FROM s0),
+s AS (SELECT * FROM s1 UNION ALL SELECT * FROM s1 WHERE interval_start_ms // 900000 % 90 = 0)
+SELECT 'closed_complete' AS rule, count(*) AS violations FROM s WHERE closed_at IS NULL UNION ALL SELECT 'closed_window', count(*) FROM s WHERE closed_at < interval_start_ms + 900000 UNION ALL SELECT 'energy_not_negative', count(*) FROM s WHERE energy_wh < 0
+UNION ALL SELECT 'key_unique', count(*) FROM (SELECT 1 FROM s WHERE kind <> 'confirmed' GROUP BY meter_id, interval_start_ms, revision HAVING count(*) > 1) UNION ALL SELECT 'lineage_complete', count(*) FROM s WHERE lineage_id IS NULL
+UNION ALL SELECT 'meter_complete', count(*) FROM s WHERE meter_id IS NULL UNION ALL SELECT 'supersedes_where_cause', count(*) FROM s WHERE cause IS NOT NULL AND supersedes IS NULL""")
 def dq_rules(spark, d):
-    return evaluation.quality_rules(staged(windows.ledger(*closed(spark, d))))
+    return evaluation.quality_rules(spoilt(staged(ledger(spark, d))))
+
 
+@query("""SELECT 'not_null_toxic' AS test, count(*) FILTER (toxic IS NULL) AS violations FROM labels UNION ALL SELECT 'range_n_chars', (SELECT count(*) FROM documents WHERE n_chars < 100 OR n_chars > 2000)
+UNION ALL SELECT 'unique_lang_n_chars', (SELECT CAST(sum(n - 1) AS BIGINT) FROM (SELECT count(*) AS n FROM documents GROUP BY lang, n_chars)) FROM labels""".replace("FROM labels UNION ALL SELECT 'range", "FROM labels UNION ALL SELECT 'range").replace(")) FROM labels", "))"))
+def column_tests(spark, d):
+    docs = tables.table(spark, d, "documents")
+    one = evaluation.column_tests(tables.table(spark, d, "labels"), not_null=["toxic"])
+    return one.unionByName(evaluation.column_tests(docs, ranges={"n_chars": (100, 2000)}, unique=["lang", "n_chars"]))
 
-@query(BASE + "SELECT CAST(0 AS BIGINT) AS differing, count(*) AS same FROM c")
+
+#: The second run lies two intervals and a day later, has another value for some windows, and lacks others.
+@query(DAY_SQL + """, b AS (SELECT meter_id, interval_start_ms + 88200000 AS interval_start_ms, energy_wh + CASE WHEN interval_start_ms // 900000 % 17 = 0 THEN 1 ELSE 0 END AS energy_wh, revision FROM nw WHERE interval_start_ms // 900000 % 23 <> 0)
+SELECT CAST(-88200000 AS BIGINT) AS offset_ms, count(*) AS shared, (SELECT count(*) FROM nw) AS most, count(*) FILTER (nw.energy_wh <> b.energy_wh) AS differing FROM nw JOIN b ON nw.meter_id = b.meter_id AND nw.interval_start_ms = b.interval_start_ms - 88200000""")
 def replay_compare(spark, d):
-    """The day twice: every value is the same."""
-    r = readings(spark, d)
-    a, b = dedup.collapsed(r), dedup.collapsed(r.unionByName(r))
-    both = a.select("meter_id", "interval_start_ms", F.col("energy_wh").alias("x")).join(b.select("meter_id", "interval_start_ms", F.col("energy_wh").alias("y")), ["meter_id", "interval_start_ms"])
-    return both.agg(F.count_if(F.col("x") != F.col("y")).alias("differing"), F.count_if(F.col("x") == F.col("y")).alias("same"))
+    first = staged(intervals(spark, d).select("meter_id", "interval_start_ms", "energy_wh", "revision"))
+    second = first.filter("interval_start_ms div 900000 % 23 <> 0").withColumns({"energy_wh": F.expr("energy_wh + if(interval_start_ms div 900000 % 17 = 0, 1, 0)"), "interval_start_ms": F.expr("interval_start_ms + 88200000")})
+    return evaluation.replayed(first, second, ["energy_wh", "revision"], timeutil.INTERVAL)
+
+
+@query(DAY_SQL + "SELECT count(*) AS windows, CAST(0 AS BIGINT) AS differing FROM nw")
+def replay_redelivered(spark, d):
+    """The day with a third of its readings delivered once more, a second later: what is stated last differs nowhere."""
+    r, closes, t = closed(spark, d)
+    more = r.unionByName(r.filter("event_id % 3 = 0").withColumn("ingest_ms", F.col("ingest_ms") + 1))
+    a, b = (windows.newest(windows.ledger(x, closes, t)).select("meter_id", "interval_start_ms", "energy_wh", "revision") for x in (r, more))
+    both = a.join(b.select("meter_id", "interval_start_ms", F.col("energy_wh").alias("e"), F.col("revision").alias("v")), ["meter_id", "interval_start_ms"], "full_outer")
+    return both.agg(F.count("energy_wh").alias("windows"), F.count_if(~F.col("energy_wh").eqNullSafe(F.col("e")) | ~F.col("revision").eqNullSafe(F.col("v"))).alias("differing"))
 
 
 @query(BASE + "SELECT sub, event_id, event_ms FROM (SELECT *, row_number() OVER (PARTITION BY sub ORDER BY event_ms DESC, event_id) AS k FROM e) WHERE k <= 5")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -10,10 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder of the session; a folder of its own only where none is set, as in tests."""
+    """The checkpoint folder of the session. Where none is set a local master gets a folder of its own; a cluster must name one."""
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "") or os.path.join(tempfile.gettempdir(), "checkpoints"))
+        folder = spark.conf.get("spark.checkpoint.dir", "")
+        if not folder and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
+        sc.setCheckpointDir(folder or os.path.join(tempfile.gettempdir(), "checkpoints"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidegrid.operators.normalise import normalised
 
@@ -25,9 +24,3 @@ def ingest(stream: DataFrame, folder: str):
         rows.unpersist()
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
-
-
-def window_totals(stream: DataFrame, length: str = "15 minutes", delay: str = "10 days") -> DataFrame:
-    """Energy and deliveries by partition and window of a stream of normalised rows; late rows within delay still count."""
-    at = stream.withColumn("event_time", F.timestamp_millis("event_ms")).withWatermark("event_time", delay)
-    return at.groupBy("partition", F.window("event_time", length).alias("w")).agg(F.sum("energy_wh").alias("energy_wh"), F.count(F.lit(1)).alias("n"))
