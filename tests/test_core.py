@@ -380,3 +380,40 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_contracts(tmp_path):
+    import json
+
+    from tidegrid.operators import contracts
+
+    def put(kind, name, **c):
+        (tmp_path / kind).mkdir(exist_ok=True)
+        (tmp_path / kind / f"{name}.json").write_text(json.dumps({"id": name} | c))
+
+    with pytest.raises(ValueError, match="no entities"):
+        contracts.load(str(tmp_path))
+    put("entities", "house", key=["h"], tracked=["owner"], personal_data=True, purpose="bills")
+    put("entities", "street", key=["s"])
+    put("features", "use", entity="house", aggregation="sum", length_seconds=3600, grain_seconds=900, budget_seconds=900, personal_data=True, purpose="bills")
+    put("decisions", "cut", features=["use"], actuation="automatic", effect="physical", model="m", permitted_actions=["a", "b"], fallback={"permitted_actions": ["a"]})
+    assert contracts.load(str(tmp_path)).scope(["t"]) == {"entities": ["house"], "features": ["use"], "resources": ["t"], "models": []}
+    put("entities", "street", key=["s"], tracked=["s"], references=[{"entity": "house", "via": "h"}, {"entity": "moon", "via": "s"}])
+    put("features", "use", entity="house", aggregation="sum", length_seconds=3600, grain_seconds=1000, budget_seconds=9000)
+    put("decisions", "cut", features=["gone"], actuation="automatic", effect="significant_on_person", permitted_actions=["a"], fallback={"permitted_actions": ["z"], "uses_model": True})
+    (tmp_path / "entities/odd.json").write_text("[1]")
+    with pytest.raises(ValueError) as e:
+        contracts.load(str(tmp_path))
+    told = str(e.value)
+    for part in ("tracks its key", "refers to moon", "house, which does", "no multiple", "budget above", "is personal data", "reads gone", "significant effect", "may also do", "without naming", "uses a model", "a contract is a mapping", "via ['h']"):
+        assert part in told
+
+
+def test_payload_texts(spark):
+    from tidegrid.functions import scalars
+
+    t = spark.createDataFrame([(one(),), (two(),), (THREE,), ("none",)], "raw string")
+    got = t.select(scalars.meter_of(F.col("raw")).alias("m"), scalars.retimed(F.col("raw"), 90_000).alias("raw")).collect()
+    assert [x.m for x in got] == ["Z-77"] * 3 + [None] and got[3].raw == "none" and f'"ts": {T0 // 1000 + 150}' in got[0].raw and '"2023-11-14T22:17:30.000Z"' in got[1].raw and '"2023-11-14T22:16:30.000Z"' in got[2].raw
+    p = spark.range(1).select(scalars.publish_plan(F.lit(9600), F.lit(7000), 1000, 10).alias("p")).first().p
+    assert (p.compression, p.peak_per_second) == (7, 10)

@@ -56,3 +56,24 @@ def throttle(headroom: Column, limit: Column) -> Column:
 def mean_half_away(total: Column, n: Column) -> Column:
     """The integer nearest to total / n, halves away from zero."""
     return F.when(total >= 0, F.call_function("div", 2 * total + n, 2 * n)).otherwise(-F.call_function("div", -2 * total + n, 2 * n))
+
+
+def meter_of(raw: Column) -> Column:
+    """The meter's id in the text of a payload of any generation; null if none is told."""
+    return F.nullif(F.regexp_extract(raw, r'"(?:mid|meter_id|id)"\s*:\s*"([^"]*)"', 1), F.lit(""))
+
+
+def retimed(raw: Column, shift_ms: int) -> Column:
+    """A payload's text with its times moved: epoch seconds of "ts", and ISO texts of "timestamp", "start" and "event_time"."""
+    from tidegrid.functions.timeutil import from_iso
+
+    seconds = F.regexp_extract(raw, r'"ts"\s*:\s*(-?\d+)', 1)
+    moved = F.when(seconds != "", F.regexp_replace(raw, F.lit(r'("ts"\s*:\s*)-?\d+'), F.concat(F.lit("$1"), (seconds.try_cast("long") + shift_ms // 1000).cast("string")))).otherwise(raw)
+    iso = F.regexp_extract(raw, r'"(?:timestamp|start|event_time)"\s*:\s*"([^"]*)"', 1)
+    later = to_iso(from_iso(iso) + shift_ms)
+    return F.when((iso != "") & later.isNotNull(), F.regexp_replace(moved, F.lit(r'("(?:timestamp|start|event_time)"\s*:\s*")[^"]*'), F.concat(F.lit("$1"), later))).otherwise(moved)
+
+
+def publish_plan(n: Column, span_ms: Column, window_ms: int, burst_s: int) -> Column:
+    """How much a span is compressed to fit a window, and the peak deliveries a second of a burst."""
+    return F.struct(F.greatest(F.lit(1).cast("long"), floor_div(span_ms, window_ms)).alias("compression"), floor_div(floor_div(n, 96), burst_s).alias("peak_per_second"))
