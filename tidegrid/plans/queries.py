@@ -551,3 +551,52 @@ def stream_collapse(spark, d):
     ingest.ingest(ingest.arrival_stream(spark, f"{folder}/in"), folder).awaitTermination()
     r = spark.read.parquet(f"{folder}/readings")
     return dedup.collapsed(r).select("meter_id", "interval_start_ms", "energy_wh")
+
+
+REVIEWS_SQL = "rv AS (SELECT doc_id AS decision_id, CASE WHEN doc_id % 7 = 0 THEN '' ELSE 'r' || (doc_id % 3) END AS reviewer, CASE WHEN quality = 1 THEN 'accepted' ELSE 'rejected' END AS verdict, CASE WHEN doc_id % 5 = 0 THEN '' ELSE 'why' END AS reason, CAST(0 AS BIGINT) AS at_ms FROM labels), ok AS (SELECT * FROM rv WHERE reviewer <> '' AND (verdict = 'accepted' OR reason <> '') AND decision_id IN (SELECT doc_id FROM documents))"
+
+
+def reviewed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Documents as entries of the oversight queue, and the reviews of them that can be recorded."""
+    entries = tables.table(spark, d, "documents").select(F.col("doc_id").alias("decision_id"))
+    k = F.col("doc_id")
+    reviews = tables.table(spark, d, "labels").select(
+        k.alias("decision_id"), F.when(k % 7 == 0, "").otherwise(F.concat(F.lit("r"), (k % 3).cast("string"))).alias("reviewer"), F.when(F.col("quality") == 1, "accepted").otherwise("rejected").alias("verdict"),
+        F.when(k % 5 == 0, "").otherwise("why").alias("reason"), F.lit(0).cast("long").alias("at_ms"),
+    )
+    return entries, decisions.recorded(entries, reviews)
+
+
+@query(f"WITH {REVIEWS_SQL} SELECT doc_id AS decision_id FROM documents WHERE doc_id NOT IN (SELECT decision_id FROM ok)")
+def oversight_pending(spark, d):
+    return decisions.pending(*reviewed(spark, d))
+
+
+@query(f"WITH {REVIEWS_SQL} SELECT decision_id FROM ok WHERE verdict = 'accepted'")
+def oversight_actuated(spark, d):
+    return decisions.actuated(*reviewed(spark, d))
+
+
+@query(f"WITH {REVIEWS_SQL} SELECT decision_id, reviewer, reason FROM ok WHERE verdict = 'rejected'")
+def oversight_signal(spark, d):
+    return decisions.training_signal(*reviewed(spark, d))
+
+
+@query(f"""WITH {POPULATION}, m AS (SELECT count(*) FILTER (decile <= 2) AS n, count(*) FILTER (decile <= 2 AND flagged) AS f, count(*) FILTER (decile <= 2 AND truly = 1) AS p, count(*) FILTER (decile <= 2 AND truly = 1 AND flagged) AS h FROM p),
+l AS (SELECT count(*) FILTER (decile >= 7) AS n, count(*) FILTER (decile >= 7 AND flagged) AS f, count(*) FILTER (decile >= 7 AND truly = 1) AS p, count(*) FILTER (decile >= 7 AND truly = 1 AND flagged) AS h FROM p)
+SELECT m.f * 1000 // m.n - l.f * 1000 // l.n AS positive_proportion_difference, (1000 - m.f * 1000 // m.n) * 1000 // (1000 - l.f * 1000 // l.n) AS disparate_impact, m.h * 1000 // m.p - l.h * 1000 // l.p AS recall_difference FROM m, l""")
+def fairness_report(spark, d):
+    return evaluation.fairness(population(spark, d).withColumn("confirmed", F.col("truly") == 1))
+
+
+@query(BASE + "SELECT p AS principal, m AS resource FROM (VALUES ('ops'), ('audit')) a(p) CROSS JOIN (SELECT DISTINCT meter_id AS m, sub FROM e) x WHERE NOT (p = 'ops' AND sub IN ('SUB-01', 'SUB-02')) AND NOT (p = 'audit' AND sub = 'SUB-03')")
+def policy_denied(spark, d):
+    grants = spark.createDataFrame([("ops", {"kind": ["energy"], "sub": ["SUB-01", "SUB-02"]}), ("audit", {"kind": ["energy", "labels"], "sub": ["SUB-03"]})], "principal string, allowed map<string, array<string>>")
+    e = tables.events(spark, d).select(F.col("meter_id").alias("resource"), "partition").distinct()
+    return policies.denied(grants, e.select("resource", F.create_map(F.lit("kind"), F.lit("energy"), F.lit("sub"), F.col("partition")).alias("tags")))
+
+
+@query("SELECT 1000 + 3 * (doc_id % 100) - 2 * n_chars AS score, doc_id FROM documents")
+def model_score(spark, d):
+    docs = tables.table(spark, d, "documents").select("doc_id", (F.col("doc_id") % 100).alias("x"), F.col("n_chars").alias("y"))
+    return evaluation.scored(docs, 1000, {"x": 3, "y": -2}).select("score", "doc_id")
