@@ -145,26 +145,24 @@ class WordBpe:
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in spec["model"]["merges"]]
         self.automaton = Automaton(spec["model"]["vocab"], merges)
         self.ids: dict[str, bytes] = {}
-        self.texts: dict[str, str] = {}
+        names = {v: k for k, v in self.special.items()}
+        labels = self.automaton.labels
+        #: The arc label of each id, or the special token's text.
+        self.label = [names.get(x) or (labels[x] if x < len(labels) else None) for x in range(max([len(labels) - 1, *names]) + 1)]
 
     def learn(self, words: list[str]) -> None:
         if len(self.ids) > WORD_CACHE:
             self.ids.clear()
-            self.texts.clear()
-        labels = self.automaton.labels
         for w in set(words):
             if w not in self.ids:
-                path = self.automaton.path(self.split.symbols(w))
-                self.ids[w] = array("I", path).tobytes()
-                self.texts[w] = " ".join([labels[x] for x in path])
+                self.ids[w] = array("I", self.automaton.path(self.split.symbols(w))).tobytes()
 
     def encode(self, text: str) -> tuple[bytes, str]:
-        """Little-endian unsigned 32-bit ids of text, and the text that they decode to: labels joined by spaces."""
-        ids, out = [], []
+        """Little-endian unsigned 32-bit ids of text, and the text that these ids decode to."""
+        ids = []
         for special, part in self.split.parts(text):
             if special:
                 ids.append(array("I", [self.special[part]]).tobytes())
-                out.append(part)
                 continue
             words = self.split.words(part)
             try:
@@ -172,16 +170,14 @@ class WordBpe:
             except KeyError:
                 self.learn(words)
                 ids.append(b"".join(map(self.ids.__getitem__, words)))
-            if words:
-                out.append(" ".join(map(self.texts.__getitem__, words)))
-        return b"".join(ids), " ".join(out)
+        out = b"".join(ids)
+        return out, self.decode(out)
 
     def decode(self, ids: bytes) -> str:
-        """The text of ids of one part of a corpus, special tokens kept."""
-        names = {v: k for k, v in self.special.items()}
+        """The text of ids: the labels of their arcs joined by spaces, special tokens kept."""
         a = array("I")
         a.frombytes(ids)
-        return " ".join([names.get(x) or self.automaton.labels[x] for x in a])
+        return " ".join(map(self.label.__getitem__, a))
 
 
 def word_bpe(path: str) -> WordBpe:
