@@ -126,6 +126,17 @@ def test_quality_rules_equal_their_sql(spark):
     assert (got[want.columns] == want).all().all()
 
 
+def test_shards_equal_their_sql(spark):
+    import duckdb
+
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    cols = ["doc_id", "size", "text_crc32", "law", "shard", "slot"]
+    want = c.sql(queries.ORACLE_SQL["op9_sharding"]).df()[cols].sort_values(cols).reset_index(drop=True)
+    got = queries.op9_sharding(spark, SF).toPandas()[cols].sort_values(cols).reset_index(drop=True)
+    assert (got == want).all().all() and len(got) == 200
+
+
 def test_the_order_of_rules_does_not_change_the_verdict(spark):
     d = spark.read.parquet(f"{SF}/documents.parquet")
     a = {(r.doc_id, r.kept) for r in quality_rules.judged(d).collect()}
@@ -300,18 +311,15 @@ def test_html_extraction_equals_the_articles(spark):
         assert got[r.page_id].text == "\n".join(filter(None, blocks)) and got[r.page_id].n_chars == len(got[r.page_id].text)
 
 
-def test_cuts_between_tasks_do_not_change_the_text(spark):
+def test_cuts_between_tasks_do_not_change_the_text(spark, monkeypatch):
     r = random.Random(9)
     rows = [(k, f"http://h{k % 2}/{k:03d}", f"<div>Home {k // 8}</div><div>Contact</div><p>Own {r.random()}</p><p>More {r.random()}</p>") for k in range(60)]
     rows += [rows[20], rows[21], (None, "http://h0/031", "<div>Contact</div><p>No number</p>")]
     d, got = spark.createDataFrame(rows, "page_id long, url string, html string"), {}
-    was = spark.conf.get("spark.sql.shuffle.partitions")
+    whole = sum(len(html) for *_, html in rows)
     for n in (1, 5, 40):
-        spark.conf.set("spark.sql.shuffle.partitions", n)
-        try:
-            got[n] = sorted((str(x.page_id), x.text, x.n_lines_shared) for x in html_extract.main_text(d).collect())
-        finally:
-            spark.conf.set("spark.sql.shuffle.partitions", was)
+        monkeypatch.setattr(html_extract, "TASK_CHARS", -(-whole // n))
+        got[n] = sorted((str(x.page_id), x.text, x.n_lines_shared) for x in html_extract.main_text(d).collect())
     assert len(got[1]) == len(rows) and got[1] == got[5] == got[40]
     assert not any("Contact" in text for k, text, _ in got[1] if k not in ("20", "21"))
 

@@ -24,12 +24,33 @@ def per_process() -> dict:
     return sys.modules.setdefault("_tidegrid_cache", types.ModuleType("_tidegrid_cache")).__dict__
 
 
+def lean(run):
+    """run for mapInArrow, after which the worker gives the memory that it no longer uses back: it waits for further tasks."""
+
+    def of_task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import ctypes
+
+            import pyarrow as pa
+
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)(0)  # glibc has it, other libraries don't
+
+    return of_task
+
+
 def checkpoint_ready(spark: SparkSession) -> None:
-    """Takes spark.checkpoint.dir of the session; only where that is unset (tests), a folder of its own."""
+    """Takes spark.checkpoint.dir of the session. Where that is unset a local master gets a folder of its own; a cluster must name one."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
-    sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "") or os.path.join(tempfile.gettempdir(), "checkpoints"))
+    folder = spark.conf.get("spark.checkpoint.dir", "")
+    if not folder and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise ValueError("spark.checkpoint.dir names no folder that all executors share")
+    sc.setCheckpointDir(folder or os.path.join(tempfile.gettempdir(), "checkpoints"))
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -46,11 +67,16 @@ def saved(df: DataFrame) -> DataFrame:
     return out
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Removes a folder that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Removes tables that saved() wrote and nothing reads any more, and lets Spark drop the shuffles behind them."""
     for df in tables:
-        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._saved_at)
-        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        removed(df.sparkSession, df._saved_at)
     let_go(tables[0].sparkSession)
 
 

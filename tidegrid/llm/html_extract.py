@@ -33,10 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import shuffle_partitions
+from tidegrid.llm.common import lean
 
 #: Keys that the cut points between tasks are taken from.
 SAMPLE_KEYS = 4096
+#: Characters of html that a task compares, about; keys are sampled so many times as often as there are tasks at least.
+TASK_CHARS, KEYS_PER_TASK = 24 << 20, 32
 #: A neighbour that shares more than this part of a page's characters is a copy.
 COPY = 0.8
 
@@ -204,8 +206,8 @@ def keyed(pages: DataFrame) -> DataFrame:
 
 
 def cut_points(keys: DataFrame, tasks: int) -> list[tuple]:
-    """At most tasks - 1 keys at equal distances in a sample of about SAMPLE_KEYS, drawn by hash."""
-    share = int(min(1.0, SAMPLE_KEYS / max(1, keys.select("page_id").count())) * (1 << 30))
+    """At most tasks - 1 keys at equal distances in a sample of about SAMPLE_KEYS (or KEYS_PER_TASK a task, if more), drawn by hash."""
+    share = int(min(1.0, max(SAMPLE_KEYS, KEYS_PER_TASK * tasks) / max(1, keys.select("page_id").count())) * (1 << 30))
     rows = keys.select("host", "path", F.coalesce("page_id", F.lit(-1)).alias("page_id")).filter(F.pmod(F.xxhash64("host", "path", "page_id"), F.lit(1 << 30)) < share)
     found = sorted(tuple(r) for r in rows.collect())
     return sorted({found[len(found) * k // tasks] for k in range(1, tasks)}) if found else []
@@ -245,7 +247,7 @@ LINES = "page_id long, url string, host string, path string, part int, keys arra
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_lines_shared (lines that the nearest page shares) of every row of pages."""
     source = keyed(pages)
-    tasks = shuffle_partitions(pages.sparkSession)
+    tasks = max(1, -(-(source.agg(F.sum(F.length("html"))).first()[0] or 0) // TASK_CHARS))
     cuts = cut_points(source, tasks)
     beside_cuts = borders(source, cuts)
 
@@ -289,8 +291,8 @@ def main_text(pages: DataFrame) -> DataFrame:
         if page and not page["guest"]:
             yield pa.RecordBatch.from_pylist([made([before])], schema=OUT_SCHEMA)
 
-    dealt = source.mapInArrow(split, LINES).repartition(tasks, "part").sortWithinPartitions("part", "host", "path", F.coalesce("page_id", F.lit(-1)))
-    return dealt.mapInArrow(differ, "page_id long, url string, text string, n_lines_shared int")
+    dealt = source.mapInArrow(lean(split), LINES).repartition(tasks, "part").sortWithinPartitions("part", "host", "path", F.coalesce("page_id", F.lit(-1)))
+    return dealt.mapInArrow(lean(differ), "page_id long, url string, text string, n_lines_shared int")
 
 
 LINE_SCHEMA = pa.schema(

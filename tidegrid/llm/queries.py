@@ -70,7 +70,24 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_token_counts, op3_best_fit_packing, op4_language_id, op5_quality_rules, op6_media_columns, op7_quality_classifier, op8_ngram_jaccard_join, op9_sharding, op10_bpe_automaton)}
 
+
+
+def _crc_table() -> list[int]:
+    """The 256 remainders of CRC-32 by its reversed polynomial."""
+    out = list(range(256))
+    for _ in range(8):
+        out = [c >> 1 ^ (0xEDB88320 if c & 1 else 0) for c in out]
+    return out
+
+
 ORACLE_SQL = {
+    "op9_sharding": f"""
+WITH b AS (SELECT doc_id, coalesce(octet_length(encode(text)), 0) + 8 AS size, regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS pairs FROM documents),
+t AS (SELECT doc_id, CAST(size AS BIGINT) AS size, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(pairs, lambda x: CAST('0x' || x AS BIGINT))), lambda c, x: xor(k.crc[CAST(xor(c, x) & 255 AS INTEGER) + 1], c >> 8)), 4294967295) AS text_crc32
+      FROM b, (SELECT CAST({_crc_table()} AS BIGINT[]) AS crc) k),
+s AS (SELECT *, sum(size) OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size ROWS UNBOUNDED PRECEDING) AS upto, sum(size) OVER () AS total, row_number() OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size) AS r FROM t),
+p AS (SELECT *, CAST(least(23, (2 * upto - size) * 24 // (2 * total)) AS INTEGER) AS shard FROM s)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, r - min(r) OVER (PARTITION BY shard) AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM p""",
     "op5_quality_rules": r"""
 WITH t AS (
   SELECT doc_id, coalesce(text, '') AS text,
