@@ -7,12 +7,12 @@ import corpus_pipeline
 from tidegrid.llm import audio, bpe_automaton, html_extract, kneser_ney, langid, ngram_join, packing, quality_rules, sharding, token_counts
 from tidegrid.llm.queries import vocabulary
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard int, sig string, part int, node long, _row string, size long"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard int, sig string, part int, node long, _row string, size long, lang_pred string, score double, ambiguous boolean, _text string, _first long, _s string, _words int, c0 string, seen int, token long"
 LONG = "the quick brown fox jumps over the lazy dog " * 3000
 
 
 def docs(spark, rows):
-    return spark.createDataFrame([(*r, "s", 1, 7, "x", 3, 9, "r", 5) for r in rows], SCHEMA)
+    return spark.createDataFrame([(*r, "s", 1, 7, "x", 3, 9, "r", 5, "l", 0.5, True, "t", 6, "s", 2, "c", 8, 4) for r in rows], SCHEMA)
 
 
 ROWS = [(1, "hello world", "en"), (1, "hello world", "en"), (2, None, "en"), (3, "", None), (None, "bonjour le monde", "fr"), (4, LONG, "en"), (5, LONG, "en"), (6, " \n\t ", "fr"), (7, "123 456 !!!", None), (8, "é" * 50_000, "fr")]

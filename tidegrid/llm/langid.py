@@ -22,10 +22,12 @@ from itertools import product
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tidegrid.llm.common import per_process
+from tidegrid.llm.common import lean, per_process
 
 BUCKETS = 1 << 16
 CHUNK = 1 << 16
@@ -83,6 +85,10 @@ class Model:
     weight: np.ndarray  # buckets x bits
     trust: np.ndarray  # languages x bits
 
+    def sent(self, rows: DataFrame):
+        """Its fields as a broadcast, which needs no module of ours on the executors: BUCKETS x bits numbers."""
+        return rows.sparkSession.sparkContext.broadcast((self.langs, self.code, self.weight, self.trust))
+
     def bits(self, text: str) -> np.ndarray | None:
         """The mean vote of each bit; None if text has no letter."""
         total, n = np.zeros(self.code.shape[1]), 0
@@ -125,7 +131,7 @@ def fit(rows: DataFrame, sample_rows: int = 4000) -> Model:
 
     table = np.zeros((len(langs), BUCKETS))
     # At most BUCKETS rows a language.
-    got = sample.mapInArrow(count, "k int, at int, n long").groupBy("k", "at").agg(F.sum("n").alias("n")).toPandas()
+    got = sample.mapInArrow(lean(count), "k int, at int, n long").groupBy("k", "at").agg(F.sum("n").alias("n")).toPandas()
     table[got["k"], got["at"]] = got["n"]
     # Each language counts alike, however many rows it has.
     rate = (table + 0.5) / (table.sum(1, keepdims=True) + 0.5 * BUCKETS)
@@ -134,10 +140,10 @@ def fit(rows: DataFrame, sample_rows: int = 4000) -> Model:
     mean = lambda side: (side.T @ rate) / np.maximum(1, side.sum(0))[:, None]
     weight = np.log((mean(ones) + 1e-9) / (mean(zeros) + 1e-9)).T.astype(np.float32) if len(langs) > 1 else np.ones((BUCKETS, 1), np.float32)
     model = Model(langs, code, weight, np.ones(code.shape))
-    sent = rows.sparkSession.sparkContext.broadcast(model)
+    sent = model.sent(rows)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
+        m = Model(*sent.value)
         right = np.zeros((len(m.langs), m.code.shape[1] + 1), np.int64)
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -149,26 +155,55 @@ def fit(rows: DataFrame, sample_rows: int = 4000) -> Model:
         yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(right[k, b])], ["k", "b", "n"])
 
     right = np.zeros((len(langs), code.shape[1] + 1))
-    got = sample.mapInArrow(check, "k int, b int, n long").groupBy("k", "b").agg(F.sum("n").alias("n")).toPandas()
+    got = sample.mapInArrow(lean(check), "k int, b int, n long").groupBy("k", "b").agg(F.sum("n").alias("n")).toPandas()
     right[got["k"], got["b"]] = got["n"]
     model.trust = (right[:, :-1] + 1) / (right[:, -1:] + 2)
     return model
 
 
-def predicted(docs: DataFrame, model: Model, keep: list[str] = ()) -> DataFrame:
-    """doc_id, the columns named in keep, lang_pred, score and ambiguous for every row of docs."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS x bits numbers
-    names = ["doc_id", *[c for c in keep if c != "doc_id"]]
-    fields = ", ".join(f"`{c}` {'long' if c == 'doc_id' else docs.schema[c].dataType.simpleString()}" for c in names)
+#: Texts whose results are sent on together.
+TEXTS = 500
+
+
+def _judged(texts: pa.Array, model: Model) -> tuple[pa.Array, pa.Array, pa.Array]:
+    lang, score, narrow = zip(*[model.predict(x or "") for x in texts.to_pylist()], strict=True) if len(texts) else ((), (), ())
+    return pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(narrow, pa.bool_())
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lo in range(0, batch.num_rows, TEXTS):
+            yield batch.slice(lo, TEXTS)
+
+
+def predicted(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, lang_pred, score and ambiguous for every row of docs."""
+    sent = model.sent(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
-        for batch in batches:
-            lang, score, narrow = zip(*[m.predict(x or "") for x in batch.column(batch.num_columns - 1).to_pylist()], strict=True) if batch.num_rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(narrow, pa.bool_())], [*batch.schema.names[:-1], "lang_pred", "score", "ambiguous"])
+        m = Model(*sent.value)
+        for part in _parts(batches):
+            yield pa.RecordBatch.from_arrays([part.column(0), *_judged(part.column(1), m)], ["doc_id", "lang_pred", "score", "ambiguous"])
+
+    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return chosen.mapInArrow(lean(run), "doc_id long, lang_pred string, score double, ambiguous boolean")
 
-    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.col(f"`{c}`") for c in names[1:]], F.col("text").cast("string").alias("_text"))
-    return chosen.mapInArrow(run, f"{fields}, lang_pred string, score double, ambiguous boolean")
+
+def recognised(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of docs, with all their columns whatever these are called, whose language is told and not ambiguous."""
+    sent = model.sent(docs)
+    names = [f"c{k}" for k in range(len(docs.columns))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = Model(*sent.value)
+        for part in _parts(batches):
+            lang, _, narrow = _judged(part.column(part.num_columns - 1), m)
+            stays = pc.and_(pc.not_equal(lang, UNKNOWN), pc.invert(narrow))
+            yield part.select(range(part.num_columns - 1)).filter(stays)
+
+    plain = docs.select(*[F.col(f"`{c}`").alias(name) for c, name in zip(docs.columns, names, strict=True)], F.col("text").cast("string").alias("seen"))
+    kept = plain.mapInArrow(lean(run), StructType(plain.schema.fields[:-1]))
+    return kept.toDF(*docs.columns)
 
 
 def held_out() -> Column:

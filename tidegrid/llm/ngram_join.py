@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import discard, let_go, per_process, saved, shuffle_partitions, small
+from tidegrid.llm.common import discard, lean, let_go, per_process, saved, shuffle_partitions, small
 from tidegrid.llm.components import components
 
 #: Bytes of a text worked on at once, texts and shingles held before they are sent on, and shingles of a shard.
@@ -193,7 +193,7 @@ def _measured(docs: DataFrame, n: int) -> DataFrame:
         if chunk:
             yield often(chunk)
 
-    return _read(docs).mapInArrow(run, "doc_id long, n_shingles long, sig binary, hash long, n long")
+    return _read(docs).mapInArrow(lean(run), "doc_id long, n_shingles long, sig binary, hash long, n long")
 
 
 def _hot(often: DataFrame, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
@@ -268,7 +268,7 @@ def _dealt(nodes: DataFrame, n: int, percent: int, bits: int, hot) -> DataFrame:
         if ids:
             yield batch(sent(ids, sets))
 
-    return nodes.mapInArrow(run, "shard int, kind int, a binary, b binary, c binary")
+    return nodes.mapInArrow(lean(run), "shard int, kind int, a binary, b binary, c binary")
 
 
 def _answered(dealt: DataFrame) -> DataFrame:
@@ -309,7 +309,7 @@ def _answered(dealt: DataFrame) -> DataFrame:
         if low:
             yield from counted(now, low, of)
 
-    return dealt.mapInArrow(run, "node long, token long, n long, out long")
+    return dealt.mapInArrow(lean(run), "node long, token long, n long, out long")
 
 
 def _prefixes(nodes: DataFrame, n: int, percent: int, total: int, hot) -> DataFrame:
@@ -334,13 +334,13 @@ def _per_node(docs: DataFrame, nodes: DataFrame, make_of) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([make_of(x or "") for x in batch.column(1).to_pylist()], pa.binary())], ["node", "items"])
 
-    return _read(docs).join(small(nodes, 16), F.col("doc_id") == F.col("node"), "left_semi").mapInArrow(run, "node long, items binary")
+    return _read(docs).join(small(nodes, 16), F.col("doc_id") == F.col("node"), "left_semi").mapInArrow(lean(run), "node long, items binary")
 
 
 def _compared(docs: DataFrame, pairs: DataFrame, make_of, holds) -> DataFrame:
     """The pairs (u, v) for which holds is true of the bytes made of the shingles of both."""
     nodes = saved(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
-    items = _per_node(docs, nodes, make_of)
+    items = saved(_per_node(docs, nodes, make_of))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -348,8 +348,8 @@ def _compared(docs: DataFrame, pairs: DataFrame, make_of, holds) -> DataFrame:
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     both = pairs.join(items.select(F.col("node").alias("u"), F.col("items").alias("x")), "u").join(items.select(F.col("node").alias("v"), F.col("items").alias("y")), "v")
-    out = saved(both.select("u", "v", "x", "y").mapInArrow(run, "u long, v long").distinct())
-    discard(nodes)
+    out = saved(both.select("u", "v", "x", "y").mapInArrow(lean(run), "u long, v long").distinct())
+    discard(nodes, items)
     return out
 
 
@@ -501,8 +501,11 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs whose doc_id is the smallest of its component, once each; rows without a doc_id all stay."""
     found = saved(near_duplicates(docs, n, percent).filter("doc_id = component_id").select("doc_id"))
-    first = found.distinct()
-    kept = docs.join(small(first, 16).withColumnRenamed("doc_id", "_first"), F.col("doc_id").cast("long") == F.col("_first"), "left_semi")
+    name = "_first"
+    while name in docs.columns:
+        name += "_"
+    first = found.distinct().withColumnRenamed("doc_id", name)
+    kept = docs.join(small(first, 16), F.col("doc_id").cast("long") == F.col(name), "left_semi")
     if not found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
         kept = kept.dropDuplicates(["doc_id"])
     return kept.unionByName(docs.filter("doc_id IS NULL"))

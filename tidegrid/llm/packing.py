@@ -22,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import per_process, splitter
+from tidegrid.llm.common import lean, per_process, splitter
 
 #: Distinct pre-split words whose ids a Python worker keeps.
-WORD_CACHE = 600_000
+WORD_CACHE = 300_000
 #: Documents a packing task handles; open sequences at its end are what splitting costs.
 DOCS_PER_TASK = 25_000
 #: The pre-split of the byte-level vocabulary, a fixed value of its format.
@@ -127,7 +127,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048,
                 cols = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["doc_id", "piece", "start", "length", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lean(run), PIECES)
 
 
 def pack(pieces: DataFrame, tasks: int, capacity: int = 2048) -> DataFrame:
@@ -145,7 +145,7 @@ def pack(pieces: DataFrame, tasks: int, capacity: int = 2048) -> DataFrame:
             )
 
     dealt = pieces.repartition(tasks, F.xxhash64("doc_id", "piece")).sortWithinPartitions(F.desc("length"), "doc_id", "piece")
-    return dealt.mapInArrow(run, PIECES + ", sequence_id long, offset long")
+    return dealt.mapInArrow(lean(run), PIECES + ", sequence_id long, offset long")
 
 
 def packed(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
