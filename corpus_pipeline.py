@@ -11,19 +11,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from tidegrid.llm import langid, ngram_join, quality_rules
-from tidegrid.llm.common import shared_folder
+from tidegrid.llm.common import removed, shared_folder
 from tidegrid.llm.queries import placed
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a recognised language; those without letters or between two languages go."""
-    model = langid.fit(docs.filter(~langid.held_out()))
-    found = langid.predicted(docs, model, docs.columns)
-    return found.filter((found.lang_pred != langid.UNKNOWN) & ~found.ambiguous).select(*docs.columns)
+    return langid.recognised(docs, langid.fit(docs.filter(~langid.held_out())))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_rules.kept_rows(docs)
+    """Documents that no rule rejects. Short ones stay, since many that are labelled clean are short."""
+    return quality_rules.kept_rows(docs, min_words=1)
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,4 +47,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:
+            removed(spark, f"{folder}/{k - 1}")
     return docs
