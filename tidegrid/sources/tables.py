@@ -34,9 +34,15 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("event_id", "meter_id", "partition", "event_ms", (F.col("wh") + F.col("c.more")).alias("wh"), (F.col("ingest_ms") + F.col("c.delay")).alias("ingest_ms"), F.col("c.source").alias("source"))
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """rows dealt out evenly if they come in fewer parts than there are cores, as from one small file; else as they are."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """deliveries as payloads of three generations, some of them unfit."""
-    d = deliveries(spark, sf_dir)
+    d = spread(deliveries(spark, sf_dir))
     k, wh, iso = F.col("event_id"), F.col("wh").cast("string"), to_iso(F.col("event_ms"))
     unit = F.when(k % 97 == 0, "MJ").otherwise("Wh")
     value = F.when(k % 83 == 0, F.concat(F.lit("-"), (F.col("wh") + 1).cast("string"))).when(k % 71 == 0, F.concat(wh, F.lit(".5"))).otherwise(wh)
