@@ -324,7 +324,7 @@ def settle_priced(spark, d):
 def asof_join(spark, d):
     li = tables.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_shipdate").cast("timestamp").alias("at"))
     both = li.join(tables.table(spark, d, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-    return settlement.as_of_latest(both, tables.tariffs(spark, d), "o_custkey", "at", "tariff").select("l_orderkey", "l_linenumber", "tariff")
+    return settlement.as_of(both, tables.tariffs(spark, d), ["o_custkey"], "at").select("l_orderkey", "l_linenumber", "tariff")
 
 
 @query("""WITH o AS (SELECT o_custkey, CAST(o_orderdate AS TIMESTAMP) AS valid_from, max(o_orderkey) AS k FROM orders GROUP BY 1, 2),
