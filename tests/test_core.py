@@ -417,3 +417,14 @@ def test_payload_texts(spark):
     assert [x.m for x in got] == ["Z-77"] * 3 + [None] and got[3].raw == "none" and f'"ts": {T0 // 1000 + 150}' in got[0].raw and '"2023-11-14T22:17:30.000Z"' in got[1].raw and '"2023-11-14T22:16:30.000Z"' in got[2].raw
     p = spark.range(1).select(scalars.publish_plan(F.lit(9600), F.lit(7000), 1000, 10).alias("p")).first().p
     assert (p.compression, p.peak_per_second) == (7, 10)
+
+
+def test_asof_join_over_days_and_customers_that_are_not_known(spark, tmp_path):
+    c = duckdb.connect()
+    c.execute("""CREATE TABLE orders AS SELECT CAST(k AS BIGINT) AS o_orderkey, CAST(u AS BIGINT) AS o_custkey, CAST(d AS DATE) AS o_orderdate FROM (VALUES
+        (1, 1, '2026-01-01'), (2, 1, '2026-01-01'), (3, 1, '2026-02-01'), (4, 2, NULL), (5, 3, NULL), (6, 3, '2026-01-05'), (7, NULL, '2026-01-01'), (8, 4, '2026-03-01'), (8, 1, '2026-04-01')) o(k, u, d)""")
+    c.execute("""CREATE TABLE lineitem AS SELECT CAST(o AS BIGINT) AS l_orderkey, n AS l_linenumber, CAST(d AS DATE) AS l_shipdate FROM range(1, 10) k(o),
+        (VALUES (1, '2025-12-31'), (2, '2026-01-01'), (3, '2026-01-31'), (4, '2026-02-01'), (5, NULL), (2, '2026-01-01')) l(n, d)""")
+    for t in ("orders", "lineitem"):
+        c.execute(f"COPY {t} TO '{tmp_path}/{t}.parquet'")
+    assert rows(QUERIES["asof_join"](spark, str(tmp_path)).toPandas()) == rows(c.sql(ORACLE_SQL["asof_join"]).df())

@@ -14,10 +14,10 @@ def as_of(left: DataFrame, history: DataFrame, key: list[str], at: str, how: str
 
     One sort of both sides by key and instant, no range join. Versions that overlap form a run; a row looks at those of
     its run that have begun, one in a history without overlaps. Without a version the columns of history are null (how
-    "inner": the row is absent); a null key has none.
+    "inner": the row is absent); a null key or instant has none, and a version that begins at no known instant is never valid.
     """
     values = [c for c in history.columns if c not in (*key, "valid_from", "valid_to")]
-    held = history.filter("valid_to IS NULL OR valid_to > valid_from").dropna(subset=key)
+    held = history.filter("valid_to IS NULL OR valid_to > valid_from").dropna(subset=[*key, "valid_from"])
     versions = held.select(*key, F.col("valid_from").alias("_at"), F.lit(0).alias("_o"), F.struct("valid_from", "valid_to", *values).alias("_v"))
     both = left.select(*key, F.col(at).alias("_at"), F.lit(1).alias("_o"), F.struct("*").alias("_l")).unionByName(versions, allowMissingColumns=True)
     order = ["_at", "_o", "_v"]
