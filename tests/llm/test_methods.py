@@ -76,6 +76,34 @@ def test_packing(spark, texts):
     assert len(seqs) <= 1.02 * sum(r.length for r in rows) / 2048 + 2
 
 
+def test_pack_sends_lengths_alone(spark):
+    sizes = random.Random(5).choices(range(1, 21), k=500)
+    pieces = spark.createDataFrame([(k, 0, 0, n, bytes(4 * n)) for k, n in enumerate(sizes)], packing.PIECES)
+    placed = packing.pack(pieces, 3, 20)
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 1 and "MapInArrow" not in plan and "Sort [length" in plan
+    rows, want = placed.withColumn("task", F.spark_partition_id()).collect(), defaultdict(list)
+    for r in rows:
+        want[r.task].append((r.length, r.doc_id))
+    assert len(rows) == 500 and placed.columns == ["doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"] and all(len(r.ids) == 4 * r.length for r in rows)
+    for task, own in want.items():
+        bins = packing.SumOfSquares(20)
+        at = {doc: bins.place(n) for n, doc in sorted(own, key=lambda x: (-x[0], x[1]))}
+        assert all((r.sequence_id, r.offset) == ((task << 40) + at[r.doc_id][0], at[r.doc_id][1]) for r in rows if r.task == task)
+    assert placed.groupBy().agg(F.countDistinct("sequence_id")).first()[0] == len({r.sequence_id for r in rows})
+
+
+def test_lots_hold_so_many_bytes(monkeypatch):
+    monkeypatch.setattr(packing, "TEXT_BYTES", 10)
+    monkeypatch.setattr(packing, "TEXTS", 3)
+    xs = ["a" * n for n in (4, 6, 1, 30, 0, 0, 0, 0, 9, 2)]
+    xs[5] = None
+    batch = pa.RecordBatch.from_arrays([pa.array(range(10)), pa.array(xs)], ["doc_id", "text"])
+    for b, n in ((batch, [2, 1, 1, 3, 2, 1]), (batch.slice(2), [1, 1, 3, 2, 1]), (batch.slice(0, 0), [])):
+        got = list(packing.lots(b, 1))
+        assert [x.num_rows for x in got] == n and [y for x in got for y in x.column(1).to_pylist()] == b.column(1).to_pylist()
+
+
 def test_sum_of_squares_takes_the_least_sum():
     r, bins, open_ = random.Random(2), packing.SumOfSquares(20), []
     for _ in range(400):

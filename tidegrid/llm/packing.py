@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +27,8 @@ from tidegrid.llm.common import lean, per_process, splitter
 
 #: Distinct pre-split words whose ids a Python worker keeps.
 WORD_CACHE = 300_000
+#: Texts, and bytes of them unless one alone has more, that are split at a time.
+TEXTS, TEXT_BYTES = 500, 2 << 20
 #: Documents a packing task handles; open sequences at its end are what splitting costs.
 DOCS_PER_TASK = 25_000
 #: The pre-split of the byte-level vocabulary, a fixed value of its format.
@@ -112,6 +115,17 @@ class SumOfSquares:
         return seq, c - at
 
 
+def lots(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch by TEXTS and by TEXT_BYTES of a column."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    lo = 0
+    while lo < batch.num_rows:
+        most = (upto[lo - 1] if lo else 0) + TEXT_BYTES
+        n = max(1, min(TEXTS, int(np.searchsorted(upto, most, "right")) - lo))
+        yield batch.slice(lo, n)
+        lo += n
+
+
 def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
     """doc_id, piece, start, length and ids (little-endian unsigned 32-bit) of every piece of docs."""
     end = np.asarray([end_id], "<u4").tobytes()
@@ -119,8 +133,8 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_bpe(tokenizer_path)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part, rows = batch.slice(lo, 500), []
+            for part in lots(batch, 1):
+                rows = []
                 for doc, ids in zip(part.column(0).to_pylist(), bpe.encode([x or "" for x in part.column(1).to_pylist()]), strict=True):
                     ids += end
                     rows += [(doc, k, at, n, ids[4 * at : 4 * (at + n)]) for k, (at, n) in enumerate(cut(len(ids) // 4, capacity))]
@@ -131,21 +145,23 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048,
 
 
 def pack(pieces: DataFrame, tasks: int, capacity: int = 2048) -> DataFrame:
-    """pieces with sequence_id and offset. A sequence belongs to one task; its number holds the task's."""
+    """pieces with sequence_id and offset. A sequence belongs to one task; its number holds the task's.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Only lengths go to Python: ids, up to four times the capacity a piece, would stand there and on the way in lots of thousands.
+    """
+
+    def run(lengths: Iterator[pa.Array]) -> Iterator[pa.Array]:
         from pyspark import TaskContext
 
         base, bins = TaskContext.get().partitionId() << 40, SumOfSquares(capacity)
-        for batch in batches:
-            placed = [bins.place(n) for n in batch.column("length").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([base + s for s, _ in placed], pa.int64()), pa.array([o for _, o in placed], pa.int64())],
-                [*batch.schema.names, "sequence_id", "offset"],
-            )
+        for batch in lengths:
+            placed = [bins.place(n) for n in batch.to_pylist()]
+            yield pa.StructArray.from_arrays([pa.array([base + s for s, _ in placed], pa.int64()), pa.array([o for _, o in placed], pa.int64())], ["sequence_id", "offset"])
 
+    # Not deterministic for the optimiser: it follows the order of rows and runs once for each.
+    place = F.arrow_udf(run, "sequence_id long, offset long").asNondeterministic()
     dealt = pieces.repartition(tasks, F.xxhash64("doc_id", "piece")).sortWithinPartitions(F.desc("length"), "doc_id", "piece")
-    return dealt.mapInArrow(lean(run), PIECES + ", sequence_id long, offset long")
+    return dealt.withColumn("_at", place("length")).select(*pieces.columns, "_at.sequence_id", "_at.offset")
 
 
 def packed(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
