@@ -93,6 +93,27 @@ def test_pack_sends_lengths_alone(spark):
     assert placed.groupBy().agg(F.countDistinct("sequence_id")).first()[0] == len({r.sequence_id for r in rows})
 
 
+def test_byte_bpe_knows_frequent_words_when_rare_ones_are_more_than_it_keeps(monkeypatch, texts):
+    bpe, asked = packing.ByteBpe(queries.vocabulary("byte_bpe_50k.json")), []
+    want = lambda xs: [np.array(bpe.tok.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in xs]
+    odd = ["", " ", "<|", "a<|endoftext|>b", "<|endoftext|", "|><|endo", "\U0001f600 \u00e9\u0301  x\n\n y", "it's 'll <", "\u2028a\x00b\x1c c", "".join(map(chr, range(1, 0x250)))]
+    lots = [*(list(texts.values())[k : k + 20] for k in range(0, 80, 20)), odd]
+    for cap in (300_000, 300, 0):
+        monkeypatch.setattr(packing, "WORD_CACHE", cap)
+        bpe.words.clear()
+        assert [bpe.encode(xs) for xs in lots] == [want(xs) for xs in lots] and len(bpe.words) <= cap
+    monkeypatch.setattr(packing, "WORD_CACHE", 60)
+    often = " the of and a to in it on at by"
+    bpe.words.clear()
+    bpe.encode([often])
+    ask = bpe.asked
+    bpe.asked = lambda xs: asked.extend(xs) or ask(xs)
+    for k in range(20):
+        lot = [often * 9 + "".join(f" rare{c}{chr(97 + k)}" for c in "abcdefgh")]
+        assert bpe.encode(lot) == want(lot)
+    assert len(asked) == 160 and len(set(asked)) == 160 and not set(asked) & {" " + x for x in often.split()}
+
+
 def test_lots_hold_so_many_bytes(monkeypatch):
     monkeypatch.setattr(packing, "TEXT_BYTES", 10)
     monkeypatch.setattr(packing, "TEXTS", 3)

@@ -33,11 +33,16 @@ TEXTS, TEXT_BYTES = 500, 2 << 20
 DOCS_PER_TASK = 25_000
 #: The pre-split of the byte-level vocabulary, a fixed value of its format.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The characters by which a byte-level vocabulary names bytes, fixed too: printable ones name themselves, the others go on from 256.
+ALPHABET = {x: 256 + n for n, x in enumerate([*range(33), *range(127, 161), 173])}
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 
 
 class ByteBpe:
-    """Ids of whole texts by the tokenizers library, which is asked once for each distinct pre-split word."""
+    """Ids of whole texts by the tokenizers library, which is asked for distinct pre-split words.
+
+    Those met first stay known, since frequent words come early; the others are asked for again with each lot of texts.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -47,21 +52,32 @@ class ByteBpe:
         self.tok.no_padding()
         self.split = splitter(SPLIT)
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.tokenize = self.tok.model.tokenize
         self.words: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def asked(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of each word by the library's merges alone: it needs no splitting, and a whole encoding costs twice as much."""
+        return (array("I", [t.id for t in self.tokenize(x.encode().decode("latin-1").translate(ALPHABET))]).tobytes() for x in words)
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text; the words new to them are looked up in one call."""
+        """Little-endian unsigned 32-bit ids of each text."""
         split = [None if any(s in x for s in self.special) else self.split(x) for x in texts]
-        new = list(set().union(*filter(None, split)).difference(self.words))
-        if len(self.words) + len(new) > WORD_CACHE:
+        met = set().union(*filter(None, split))
+        new = list(met.difference(self.words))
+        full = len(self.words) + len(new) > WORD_CACHE
+        if full and 2 * len(new) > len(met):  # other texts than before
             self.words.clear()
-            new = list(set().union(*filter(None, split)))
-        self.words.update(zip(new, self.whole(new), strict=True))
+            new, full = list(met), len(met) > WORD_CACHE
+        self.words.update(zip(new, self.asked(new), strict=True))
         ids = self.words.__getitem__
-        return [self.whole([x])[0] if words is None else b"".join(map(ids, words)) for x, words in zip(texts, split, strict=True)]
+        out = [self.whole([x])[0] if words is None else b"".join(map(ids, words)) for x, words in zip(texts, split, strict=True)]
+        if full:
+            for word in new:
+                del self.words[word]
+        return out
 
 
 def byte_bpe(path: str) -> ByteBpe:
