@@ -281,6 +281,26 @@ def test_one_outlier_does_not_set_the_threshold(spark):
     assert got[0].threshold > np.quantile([got[k].perplexity for k in range(300)], 0.99)
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_all_trusted_documents_count(spark, monkeypatch, few):
+    r, seen = random.Random(3), {}
+    rows = [(k, "".join(r.choice("abcd ") for _ in range(r.randint(1, 9))), r.choice(["en", "de", None])) for k in range(25_000)]
+    d = spark.createDataFrame([*rows, (None, "xyz", "en")], "doc_id long, text string, lang string").repartition(4)
+    labels = spark.createDataFrame([(k, int(k % 25 > 0), 0) for k in range(25_000)], "doc_id long, quality int, toxic int")
+    if not few:
+        monkeypatch.setattr(kneser_ney.common, "BROADCAST_BYTES", 0)
+    for name in ("counted", "log_probabilities"):
+        monkeypatch.setattr(kneser_ney, name, lambda x, f=getattr(kneser_ney, name), name=name: seen.setdefault(name, []).append(f(x)) or seen[name][-1])
+    got = {x.doc_id: x for x in kneser_ney.classified(d, labels).collect()}
+    trusted = [x for x in rows if x[0] % 25]
+    assert seen["counted"][0].sum() == sum(len(x[1]) for x in trusted) and len(got) == 25_001
+    fold = {x.doc_id: x.f for x in d.select("doc_id", F.pmod(F.xxhash64("text"), F.lit(4)).alias("f")).collect()}
+    ppl = {k: round(float(np.exp(-sum(float(seen["log_probabilities"][fold[k]][g].sum(dtype=np.float64)) for g in kneser_ney.grams(t)) / len(t))), 6) for k, t, _ in trusted}
+    for lang in ("en", "de", None):
+        own = sorted(ppl[k] for k, _, x in trusted if x == lang)
+        assert {got[k].threshold for k, _, x in rows if x == lang} == {own[-(-99 * len(own) // 100) - 1]}
+
+
 def brute_components(texts, n, percent):
     sets, parent = {}, {k: k for k in texts}
     for k, t in texts.items():
