@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidegrid.llm import audio, bpe_automaton, html_extract, kneser_ney, langid, ngram_join, packing, queries, quality_rules, token_counts
+from tidegrid.llm import audio, bpe_automaton, common, html_extract, kneser_ney, langid, ngram_join, packing, queries, quality_rules, token_counts
 from tidegrid.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -151,6 +151,37 @@ def test_language_id_is_right_on_held_out_documents(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
 
 
+def test_recognised_sends_texts_alone(spark, monkeypatch):
+    d = spark.read.parquet(f"{SF}/documents.parquet").withColumn("more", F.repeat("source", 3)).withColumn("text", F.expr("if(doc_id % 50 = 0, NULL, text)"))
+    model = langid.fit(d)
+    kept = langid.recognised(d, model)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 1 and "MapInArrow" not in plan and kept.schema == d.schema
+    rows = d.collect()
+    want = [r for r in rows if (x := model.predict(r.text or ""))[0] != "und" and not x[2]]
+    monkeypatch.setattr(langid, "TEXTS", 7)
+    assert 0 < len(want) < len(rows) and sorted(kept.collect()) == sorted(want) == sorted(langid.recognised(d.repartition(3), model).collect())
+
+
+def test_a_worker_keeps_what_one_operator_holds():
+    def task(module, name):
+        def run(batches):
+            common.per_process().setdefault(name, object())
+            yield from batches
+
+        run.__module__ = module
+        return common.lean(run)
+
+    held = lambda: {*common.per_process()} - {"owner"}
+    try:
+        assert list(task("a", "words")([1, 2])) == [1, 2] and held() == {"words"}
+        first = common.per_process()["words"]
+        assert list(task("a", "more")([])) == [] and held() == {"words", "more"} and common.per_process()["words"] is first
+        assert list(task("b", "letters")([3])) == [3] and held() == {"letters"}
+    finally:
+        common.per_process().clear()
+
+
 def test_symbols_beyond_the_basic_plane_are_no_letters():
     count = lambda x: sum(len(g) for g in langid.grams(x))
     assert count("😀😀 🚀🚀") == 0 and count("𝟙𝟚") == 0
@@ -338,6 +369,12 @@ def test_the_join_loses_no_link(spark, texts, monkeypatch, n, percent, few, hot,
     assert got == brute_components(all_, n, percent)
 
 
+def test_the_join_makes_no_table_from_a_list(spark, monkeypatch):
+    d = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, "g h i j k l"), (4, None)], "doc_id long, text string")
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda *a, **b: pytest.fail("it starts Python workers of its own"))
+    assert {x.doc_id: x.component_id for x in ngram_join.near_duplicates(d, 4, 85).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+
+
 def test_short_forms_refuse_no_link():
     y = np.arange(20, dtype=np.uint64) << np.uint64(50)
     y[9] = y[10]

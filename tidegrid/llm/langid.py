@@ -25,7 +25,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tidegrid.llm.common import lean, per_process
 
@@ -170,9 +169,9 @@ def _judged(texts: pa.Array, model: Model) -> tuple[pa.Array, pa.Array, pa.Array
     return pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(narrow, pa.bool_())
 
 
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parts(batches: Iterator[pa.RecordBatch | pa.Array]) -> Iterator[pa.RecordBatch | pa.Array]:
     for batch in batches:
-        for lo in range(0, batch.num_rows, TEXTS):
+        for lo in range(0, len(batch), TEXTS):
             yield batch.slice(lo, TEXTS)
 
 
@@ -192,18 +191,15 @@ def predicted(docs: DataFrame, model: Model) -> DataFrame:
 def recognised(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of docs, with all their columns whatever these are called, whose language is told and not ambiguous."""
     sent = model.sent(docs)
-    names = [f"c{k}" for k in range(len(docs.columns))]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def told(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = Model(*sent.value)
-        for part in _parts(batches):
-            lang, _, narrow = _judged(part.column(part.num_columns - 1), m)
-            stays = pc.and_(pc.not_equal(lang, UNKNOWN), pc.invert(narrow))
-            yield part.select(range(part.num_columns - 1)).filter(stays)
+        for part in _parts(texts):
+            lang, _, narrow = _judged(part, m)
+            yield pc.and_(pc.not_equal(lang, UNKNOWN), pc.invert(narrow))
 
-    plain = docs.select(*[F.col(f"`{c}`").alias(name) for c, name in zip(docs.columns, names, strict=True)], F.col("text").cast("string").alias("seen"))
-    kept = plain.mapInArrow(lean(run), StructType(plain.schema.fields[:-1]))
-    return kept.toDF(*docs.columns)
+    # Only texts go to Python and a bit for each comes back: whole rows would stand there and on both ways in lots of thousands.
+    return docs.filter(F.arrow_udf(lean(told), "boolean")(F.col("text").cast("string")))
 
 
 def held_out() -> Column:

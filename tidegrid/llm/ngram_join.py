@@ -454,7 +454,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     discard(prefixes, nodes)
     del shared, texts
     let_go(spark)
-    links = spark.createDataFrame([], "u long, v long")
+    links = spark.range(0).select(F.col("id").alias("u"), F.col("id").alias("v"))  # none; made from a list it would start Python workers of its own
     for k in range(STAR_ROUNDS + 1):
         sizes = open_.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
         rows, all_pairs = sizes.agg(F.sum("n"), F.sum(F.expr("n * (n - 1) / 2"))).first()
