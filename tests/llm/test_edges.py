@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names, for each operator and stage."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,6 +79,33 @@ def test_stages(spark, tmp_path, rows):
         assert {x.doc_id for x in d.select("doc_id").collect()} <= ids
 
 
+def test_stages_send_small_lots(spark, tmp_path, monkeypatch):
+    before = spark.conf.get(corpus_pipeline.LOTS)
+    docs(spark, ROWS).repartition(1).write.parquet(f"{tmp_path}/documents.parquet")
+    read, seen = spark.read.parquet(f"{tmp_path}/documents.parquet"), "n long"
+
+    def lots():  # rows of each batch that Python gets
+        return max(r.n for r in read.select("doc_id").mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"]) for b in batches), seen).collect())
+
+    try:
+        assert lots() == len(ROWS)
+        monkeypatch.setattr(corpus_pipeline, "LOT", 4)
+        for stage in (corpus_pipeline.language_id, corpus_pipeline.jaccard_join, corpus_pipeline.packing):
+            spark.conf.set(corpus_pipeline.LOTS, before)
+            stage(spark, read, "")
+            assert lots() == 4
+        spark.conf.set(corpus_pipeline.LOTS, "3")
+        stage(spark, read, "")
+        assert lots() == 3
+        spark.conf.set(corpus_pipeline.LOTS, "9")
+        few = corpus_pipeline.run(spark, str(tmp_path)).drop("sequence_id", "offset").collect()
+        assert spark.conf.get(corpus_pipeline.LOTS) == "9"
+        monkeypatch.setattr(corpus_pipeline, "LOT", 1000)
+        assert few and sorted(map(str, few)) == sorted(map(str, corpus_pipeline.run(spark, str(tmp_path)).drop("sequence_id", "offset").collect()))
+    finally:
+        spark.conf.set(corpus_pipeline.LOTS, before)
+
+
 def test_one_of_each_component_stays(spark):
     d = docs(spark, [(9, LONG, "en"), (4, LONG, "en"), (4, LONG, "en"), (5, "a b c d e f", "en"), (None, LONG, "en")])
     assert sorted(str(x.doc_id) for x in ngram_join.one_of_each(d).collect()) == ["4", "5", "None"]
