@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import lean, per_process, splitter
+from tidegrid.llm.common import lean, per_process
 
 #: Distinct pre-split words whose ids a Python worker keeps.
 WORD_CACHE = 300_000
@@ -31,16 +31,72 @@ WORD_CACHE = 300_000
 TEXTS, TEXT_BYTES = 500, 2 << 20
 #: Documents a packing task handles; open sequences at its end are what splitting costs.
 DOCS_PER_TASK = 25_000
-#: The pre-split of the byte-level vocabulary, a fixed value of its format.
+#: The pre-split of the byte-level vocabulary, a fixed value of its format; bounds() follows it.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: The characters by which a byte-level vocabulary names bytes, fixed too: printable ones name themselves, the others go on from 256.
-ALPHABET = {x: 256 + n for n, x in enumerate([*range(33), *range(127, 161), 173])}
+ALPHABET = np.arange(256, dtype="<u2")
+ALPHABET[[*range(33), *range(127, 161), 173]] = np.arange(256, 256 + 68)
+#: Classes of characters in SPLIT: white space, letters, numbers, others.
+SPACE, LETTER, NUMBER, OTHER = range(4)
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 
 
+def classes() -> np.ndarray:
+    """The class of each code point."""
+    import regex
+
+    out, every = np.full(0x110000, OTHER, np.uint8), np.arange(0x110000, dtype="<u4").tobytes().decode("utf-32-le", "surrogatepass")
+    for k, name in ((SPACE, "White_Space"), (LETTER, "L"), (NUMBER, "N")):
+        for m in regex.finditer(rf"\p{{{name}}}+", every):
+            out[m.start() : m.end()] = k
+    return out
+
+
+def bounds(data: np.ndarray, at: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Where the words by SPLIT begin in the UTF-8 bytes of texts that begin at these places, and the end; known are classes().
+
+    All steps are over whole arrays. A byte has the class of its character.
+    """
+    end = len(data)
+    kind = np.frombuffer(data.tobytes().translate(known[:256].tobytes()), np.uint8)
+    if end and data.max() > 127:
+        kind = kind.copy()
+        lead = np.flatnonzero(data >= 0xC0)
+        code = np.frombuffer(data[data > 127].tobytes().decode().encode("utf-32-le"), "<u4")
+        for k, least in enumerate((0, 0, 0x800, 0x10000)):
+            long = code >= least
+            kind[lead[long] + k] = known[code[long]]
+    first = np.zeros(end + 4, bool)  # of a text; behind the end too
+    first[at] = first[end:] = True
+    begins = first.copy()
+    begins[1:end] |= kind[1:] != kind[:-1]
+    # The last white space before anything else stands alone, or goes with it if it is a blank.
+    after = 1 + np.flatnonzero((kind[:-1] == SPACE) & (kind[1:] != SPACE))
+    after = after[~first[after]]
+    last = after - 1
+    while len(inner := np.flatnonzero(data[last] & 0xC0 == 0x80)):
+        last[inner] -= 1
+    begins[last] = True
+    begins[after] = data[last] != 32
+    # 's, 't, 'm, 'd, 're, 've and 'll are words where a word begins.
+    quote = np.flatnonzero(data == 39)
+    quote = quote[begins[quote] & ~first[quote + 1]]
+    if len(quote):
+        more = np.concatenate([data, np.zeros(3, np.uint8)])
+        one, two = more[quote + 1], more[quote + 2]
+        short = np.isin(one, list(b"stmd"))
+        long = ~first[quote + 2] & ((two == 101) & ((one == 114) | (one == 118)) | (two == 108) & (one == 108))
+        begins[quote[short | long] + 1] = False
+        begins[quote[short] + 2] = True
+        begins[quote[long] + 3] = True
+    begins[end] = True
+    return np.flatnonzero(begins[: end + 1])
+
+
 class ByteBpe:
     """Ids of whole texts by the tokenizers library, which is asked for distinct pre-split words.
 
+    Texts are split and words made distinct in Arrow's and NumPy's arrays; only distinct words of a lot become Python's objects.
     Those met first stay known, since frequent words come early; the others are asked for again with each lot of texts.
     """
 
@@ -50,35 +106,61 @@ class ByteBpe:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.split = splitter(SPLIT)
-        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.tokenize = self.tok.model.tokenize
+        self.classes = classes()
+        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.words: dict[str, bytes] = {}
 
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+    def whole(self, text: str) -> bytes:
+        return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
     def asked(self, words: list[str]) -> Iterator[bytes]:
         """Ids of each word by the library's merges alone: it needs no splitting, and a whole encoding costs twice as much."""
-        return (array("I", [t.id for t in self.tokenize(x.encode().decode("latin-1").translate(ALPHABET))]).tobytes() for x in words)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        split = [None if any(s in x for s in self.special) else self.split(x) for x in texts]
-        met = set().union(*filter(None, split))
-        new = list(met.difference(self.words))
+        # All are named by one look into ALPHABET; 255, which is no byte of UTF-8, names itself and parts them.
+        named = ALPHABET[np.frombuffer(b"\xff".join(x.encode() for x in words), np.uint8)].tobytes().decode("utf-16-le").split("\xff") if words else []
+        return (array("I", [t.id for t in self.tokenize(x)]).tobytes() for x in named)
+
+    def ids(self, words: list[str]) -> list[bytes]:
+        """Ids of each of these distinct words."""
+        found = list(map(self.words.get, words))
+        new = [k for k, x in enumerate(found) if x is None]
         full = len(self.words) + len(new) > WORD_CACHE
-        if full and 2 * len(new) > len(met):  # other texts than before
+        if full and 2 * len(new) > len(words):  # other texts than before
             self.words.clear()
-            new, full = list(met), len(met) > WORD_CACHE
-        self.words.update(zip(new, self.asked(new), strict=True))
-        ids = self.words.__getitem__
-        out = [self.whole([x])[0] if words is None else b"".join(map(ids, words)) for x, words in zip(texts, split, strict=True)]
-        if full:
-            for word in new:
-                del self.words[word]
+            new, full = range(len(words)), len(words) > WORD_CACHE
+        ask = [words[k] for k in new]
+        for k, x in zip(new, self.asked(ask), strict=True):
+            found[k] = x
+        if not full:
+            self.words.update(zip(ask, (found[k] for k in new), strict=True))
+        return found
+
+    def encode_column(self, texts: pa.Array) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text of an Arrow array; a null text has none."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        _, ends, data = texts.buffers()
+        ends = np.frombuffer(ends, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        lo, hi = int(ends[0]), int(ends[-1])
+        if lo == hi:
+            return [b""] * len(texts)
+        data, ends = np.frombuffer(data, np.uint8)[lo:hi], ends - lo
+        begins = bounds(data, ends[:-1], self.classes)
+        words = pa.Array.from_buffers(pa.large_string(), len(begins) - 1, [None, pa.py_buffer(begins), pa.py_buffer(data)]).dictionary_encode()
+        all_ids = pa.array(self.ids(words.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(words.indices)
+        _, upto, flat = all_ids.buffers()
+        flat = memoryview(flat)
+        upto = np.frombuffer(upto, np.int64)[all_ids.offset + np.searchsorted(begins, ends)].tolist()
+        out = [flat[a:b].tobytes() for a, b in zip(upto, upto[1:], strict=False)]
+        raw = data.tobytes()
+        if any(s.encode() in raw for s in self.special):
+            for k, x in enumerate(texts.to_pylist()):
+                if any(s in x for s in self.special):
+                    out[k] = self.whole(x)
         return out
 
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return self.encode_column(pa.array(texts, pa.string()))
+
 
 def byte_bpe(path: str) -> ByteBpe:
     import os
@@ -151,7 +233,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048,
         for batch in batches:
             for part in lots(batch, 1):
                 rows = []
-                for doc, ids in zip(part.column(0).to_pylist(), bpe.encode([x or "" for x in part.column(1).to_pylist()]), strict=True):
+                for doc, ids in zip(part.column(0).to_pylist(), bpe.encode_column(part.column(1)), strict=True):
                     ids += end
                     rows += [(doc, k, at, n, ids[4 * at : 4 * (at + n)]) for k, (at, n) in enumerate(cut(len(ids) // 4, capacity))]
                 cols = list(zip(*rows, strict=True))
